@@ -36,5 +36,6 @@ def load_all() -> None:
     """Import the query modules so that they register themselves."""
     from . import (  # noqa: F401
         queries_features,
+        queries_scoring,
         queries_summary,
     )

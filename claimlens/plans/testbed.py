@@ -192,3 +192,45 @@ def raw_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("").alias("WVRSTATE"),
         "c_custkey",
     )
+
+
+def scored_providers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Providers with stand-in layer scores computed from the customer key."""
+    key = F.col("c_custkey")
+    return providers(spark, sf_dir).select(
+        "npi",
+        F.col("last_name").alias("provider_last_name"),
+        F.col("first_name").alias("provider_first_name"),
+        F.col("segment").alias("provider_specialty"),
+        F.col("state").alias("provider_state"),
+        (F.col("c_acctbal") < 0).alias("is_excluded"),
+        (F.pmod(key * 7919, F.lit(1000)) / 999.0).alias("if_anomaly_score"),
+        (F.pmod(key * 104729, F.lit(997)) / 996.0).alias("xgb_fraud_prob"),
+        (F.pmod(key * 31, F.lit(101)) / 100.0).alias("graph_anomaly_score"),
+    )
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as ranked rows: length is the score, quality the label."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return table(spark, sf_dir, "labels").join(docs, "doc_id").select(
+        npi_of("doc_id").alias("npi"),
+        F.col("lang").alias("provider_specialty"),
+        F.col("n_chars").cast("double").alias("risk_score"),
+        (F.col("quality") == 1).alias("is_excluded"),
+    )
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as review decisions."""
+    kind = F.col("event_type")
+    return table(spark, sf_dir, "events").select(
+        F.col("ts").alias("timestamp"),
+        npi_of("user_id").alias("npi"),
+        F.when(kind == "purchase", "Referred for Investigation")
+        .when(kind == "click", "No Action — Legitimate Pattern")
+        .when(kind == "view", "No Action — Insufficient Evidence")
+        .otherwise("Needs More Data")
+        .alias("decision"),
+        F.lit("").alias("notes"),
+    )
