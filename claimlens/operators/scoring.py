@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.checkpoints import materialize
 from ..functions.columns import clip, min_max
 from ..functions.ranking import Quantile, exact_quantiles
 from ..schemas import ENSEMBLE_WEIGHTS, TIER_QUANTILES, TIERS, UNSUPERVISED_WEIGHTS
@@ -19,8 +20,10 @@ LAYERS = {
 def calibrate(df: DataFrame, raw: str, out: str) -> DataFrame:
     """Invert and scale a raw score (low = anomalous) to [0, 1] over all rows."""
     ends = df.select(F.struct(F.min(raw).alias("lo"), F.max(raw).alias("hi"))).scalar()
-    scaled = (ends["hi"] - F.col(raw)) / (ends["hi"] - ends["lo"] + F.lit(1e-10))
-    return df.withColumn(out, clip(scaled, 0.0, 1.0))
+    scaled = (F.col("__ends.hi") - F.col(raw)) / (
+        F.col("__ends.hi") - F.col("__ends.lo") + F.lit(1e-10)
+    )
+    return df.withColumn("__ends", ends).withColumn(out, clip(scaled, 0.0, 1.0)).drop("__ends")
 
 
 def min_max_columns(df: DataFrame, columns: dict[str, Column | str]) -> DataFrame:
@@ -32,9 +35,10 @@ def min_max_columns(df: DataFrame, columns: dict[str, Column | str]) -> DataFram
             *[F.max(e).alias(f"hi_{n}") for n, e in exprs.items()],
         )
     ).scalar()
-    return df.withColumns(
-        {n: min_max(e, ends[f"lo_{n}"], ends[f"hi_{n}"]) for n, e in exprs.items()}
-    )
+    scaled = {
+        n: min_max(e, F.col(f"__ends.lo_{n}"), F.col(f"__ends.hi_{n}")) for n, e in exprs.items()
+    }
+    return df.withColumn("__ends", ends).withColumns(scaled).drop("__ends")
 
 
 def normalized_weights(weights: dict[str, float] | None) -> dict[str, float]:
@@ -77,8 +81,13 @@ def risk_tiers(df: DataFrame, score: str = "risk_score") -> DataFrame:
     edges = tier_edges(df, score).scalar()
     tier = F.lit(TIERS[-1])
     for i in range(len(TIERS) - 2, -1, -1):
-        tier = F.when(F.col(score) <= edges[i + 1], F.lit(TIERS[i])).otherwise(tier)
-    return df.withColumn("risk_tier", F.when(F.col(score).isNotNull(), tier))
+        edge = F.get("__edges", F.lit(i + 1))
+        tier = F.when(F.col(score) <= edge, F.lit(TIERS[i])).otherwise(tier)
+    return (
+        df.withColumn("__edges", edges)
+        .withColumn("risk_tier", F.when(F.col(score).isNotNull(), tier))
+        .drop("__edges")
+    )
 
 
 def fixed_tiers(df: DataFrame, score: str = "risk_score") -> DataFrame:
@@ -91,7 +100,11 @@ def fixed_tiers(df: DataFrame, score: str = "risk_score") -> DataFrame:
 
 
 def risk_table(providers: DataFrame) -> DataFrame:
-    """Scored providers with tier, highest risk first (ties by provider id)."""
+    """Scored providers with tier, highest risk first (ties by provider id).
+
+    The scores are stored before the tier edges are looked up, so the layers
+    behind them run once.
+    """
     columns = [
         "npi",
         "provider_last_name",
@@ -102,7 +115,8 @@ def risk_table(providers: DataFrame) -> DataFrame:
         "risk_score",
         *LAYERS.values(),
     ]
-    return risk_tiers(providers.select(*columns)).orderBy(F.desc("risk_score"), "npi")
+    rows = materialize(providers.select(*columns))
+    return risk_tiers(rows).orderBy(F.desc("risk_score"), "npi")
 
 
 def attach_graph_score(df: DataFrame, graph: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ with the blocks it needs, dependencies first.
 
 from __future__ import annotations
 
-from .testbed import EXCLUSION_TYPES, HIGH_CODES
+from .testbed import EXCLUSION_TYPES, HIGH_CODES, NAME_KEYS
 
 _HIGH = ", ".join(f"'{c}'" for c in HIGH_CODES)
 _TYPES = ", ".join(f"'{t}'" for t in EXCLUSION_TYPES)
@@ -37,16 +37,16 @@ def sql(query: str, *blocks: str) -> str:
 block(
     "who",
     [],
-    """
+    f"""
     SELECT c_custkey, c_acctbal, c_nationkey,
            lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS npi,
            upper(split_part(p_name, ' ', 2)) AS last_name,
            upper(split_part(p_name, ' ', 1)) AS first_name,
            c_mktsegment AS segment,
            lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state,
-           CASE WHEN c_nationkey = 24 THEN 'O' ELSE 'I' END AS entity,
+           CASE WHEN c_nationkey >= 20 THEN 'O' ELSE 'I' END AS entity,
            CASE WHEN c_acctbal < 4500 THEN 'F' ELSE 'M' END AS gender
-    FROM customer LEFT JOIN part ON p_partkey = c_custkey % (SELECT count(*) FROM part)
+    FROM customer LEFT JOIN part ON p_partkey = c_custkey % {NAME_KEYS}
     """,
 )
 block(

@@ -16,6 +16,8 @@ HIGH_CODES = [
 ]
 # fixed values: exclusion types dealt out over the derived exclusion list
 EXCLUSION_TYPES = ["1128a1", "1128a2", "1128a3", "1128b4"]
+# fixed value: names come from this many part keys, present at every scale
+NAME_KEYS = 200
 STATES = tuple(f"{i:02d}" for i in range(25))
 
 
@@ -29,9 +31,7 @@ def npi_of(key: str) -> Column:
 
 def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as providers: id, name taken from a part name, state."""
-    part = table(spark, sf_dir, "part")
-    n_parts = part.select(F.count(F.lit(1))).scalar()
-    words = part.select(
+    words = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("name_key"),
         F.upper(F.split_part("p_name", F.lit(" "), F.lit(2))).alias("last_name"),
         F.upper(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("first_name"),
@@ -41,7 +41,7 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_acctbal",
         "c_nationkey",
         "c_mktsegment",
-        (F.col("c_custkey") % n_parts).alias("name_key"),
+        (F.col("c_custkey") % NAME_KEYS).alias("name_key"),
     )
     return cust.join(words, "name_key", "left").select(
         "c_custkey",
@@ -52,7 +52,7 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "first_name",
         F.col("c_mktsegment").alias("segment"),
         F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("state"),
-        F.when(F.col("c_nationkey") == 24, "O").otherwise("I").alias("entity"),
+        F.when(F.col("c_nationkey") >= 20, "O").otherwise("I").alias("entity"),
         F.when(F.col("c_acctbal") < 4500, "F").otherwise("M").alias("gender"),
     )
 
