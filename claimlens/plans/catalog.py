@@ -36,6 +36,7 @@ def load_all() -> None:
     """Import the query modules so that they register themselves."""
     from . import (  # noqa: F401
         queries_features,
+        queries_graph,
         queries_linkage,
         queries_scoring,
         queries_summary,
