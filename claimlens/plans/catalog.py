@@ -38,6 +38,7 @@ def load_all() -> None:
         queries_features,
         queries_graph,
         queries_linkage,
+        queries_models,
         queries_scoring,
         queries_summary,
     )

@@ -46,9 +46,9 @@ def build_mart(inputs: FeatureInputs) -> MartTables:
     return MartTables(cells, mix, mart)
 
 
-def build_features(inputs: FeatureInputs) -> DataFrame:
+def build_features(inputs: FeatureInputs, tables: MartTables | None = None) -> DataFrame:
     """Claims to the full feature table, one row per provider."""
-    tables = build_mart(inputs)
+    tables = tables or build_mart(inputs)
     mart = materialize(tables.mart)
     mix = materialize(tables.mix)
     return features.combine_features(

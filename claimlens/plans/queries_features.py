@@ -185,8 +185,8 @@ def _cholesky_blocks() -> None:
         [prev],
         f"""
         SELECT npi, sqrt(d2) AS mahalanobis_distance,
-               CASE WHEN d2 IS NOT NULL THEN 1 - list_sum([exp(-d2 / 2 + (4.5 + k) * ln(d2 / 2) - lgamma(5.5 + k))
-                             for k in range(0, 400)]) END AS mahalanobis_pvalue
+               CASE WHEN d2 IS NOT NULL THEN greatest(0, 1 - list_sum([exp(-d2 / 2 + (4.5 + k) * ln(d2 / 2) - lgamma(5.5 + k))
+                             for k in range(0, 400)])) END AS mahalanobis_pvalue
         FROM (SELECT npi, {d2} AS d2 FROM {prev})
         """,
     )
