@@ -40,5 +40,6 @@ def load_all() -> None:
         queries_linkage,
         queries_models,
         queries_scoring,
+        queries_sources,
         queries_summary,
     )
