@@ -5,18 +5,48 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+# rows of a narrow lookup table (tens of MB at most) that may be broadcast
+BROADCAST_ROWS = 100_000
 
-def materialize(df: DataFrame) -> DataFrame:
+
+AQE = "spark.sql.adaptive.enabled"
+
+
+def materialize(df: DataFrame, keep_layout: bool = False) -> DataFrame:
     """Write ``df`` once and cut its lineage.
 
     The files go to the shared folder named by ``spark.checkpoint.dir``; they
     outlive any executor. Only a session without that setting (unit tests) gets
     a folder of its own.
+
+    An adaptive plan does not report how its result is partitioned and sorted.
+    ``keep_layout`` plans this one write without adaptive execution, so that
+    later joins and aggregates on the layout keys need no shuffle.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="claimlens-"))
-    return df.checkpoint(eager=True)
+    if not keep_layout:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get(AQE)
+    spark.conf.set(AQE, "false")
+    try:
+        # a no-op filter gives a plan that has not been made adaptive yet
+        return df.where("true").checkpoint(eager=True)
+    finally:
+        spark.conf.set(AQE, before)
+
+
+def lookup_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Store a per-group table and measure it for a join.
+
+    Up to ``max_rows`` rows it is broadcast, so the large side keeps its layout
+    and a hot group needs no shuffle. A larger table joins by shuffle, where
+    adaptive execution splits skewed partitions.
+    """
+    stored = materialize(df)
+    return F.broadcast(stored) if stored.count() <= max_rows else stored

@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .checkpoints import materialize
+from .checkpoints import lookup_side, materialize
 
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 500
+# one edge row holds 255 doubles: 20,000 rows are about 40 MB
+MAX_EDGE_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -52,82 +54,67 @@ def exact_quantiles(
     position; groups of up to ``accuracy`` rows keep every value. Pass 2 folds
     all values below the bracket into one counter and ranks the few inside.
     """
-    names = list(specs)
     columns = list(dict.fromkeys(s.column for s in specs.values()))
+    probs = sorted({s.probability for s in specs.values()})
     slack = 3.0 / accuracy
+    ends = [min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)]
 
-    aggs = []
-    for c in columns:
-        wanted = [s for s in specs.values() if s.column == c]
-        probs = [
-            min(1.0, max(0.0, s.probability + d)) for s in wanted for d in (-slack, slack)
-        ]
-        aggs.append(F.count(c).alias(f"__n_{c}"))
-        aggs.append(F.percentile_approx(c, probs, accuracy).alias(f"__sk_{c}"))
-    data = df.select(*keys, *columns)
-    bounds = data.groupBy(*keys).agg(*aggs)
-    if keys:
-        joined = data.join(bounds, keys)
-    else:
-        one = bounds.select(F.struct("*").alias("b")).scalar()
-        joined = data.withColumn("__b", one).select("*", "__b.*")
-
-    marks = []
-    seen = dict.fromkeys(columns, 0)
-    for i, name in enumerate(names):
-        c = specs[name].column
-        slot = seen[c]
-        seen[c] += 1
-        big = F.col(f"__n_{c}") > accuracy
-        sketch = F.col(f"__sk_{c}")
-        below = big & (F.col(c) < F.get(sketch, F.lit(2 * slot)))
-        above = big & (F.col(c) > F.get(sketch, F.lit(2 * slot + 1)))
-        marks.append(
-            F.when(
-                F.col(c).isNotNull() & ~above,
-                F.struct(
-                    F.lit(i).alias("q"),
-                    F.when(~below, F.col(c)).cast("double").alias("v"),
-                    F.col(f"__n_{c}").alias("n"),
-                ),
-            )
+    cells = [F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)]
+    values = (
+        df.select(*keys, F.explode(F.array(*cells)).alias("__s"))
+        .select(*keys, F.col("__s.c").alias("__c"), F.col("__s.v").alias("__v"))
+        .where(F.col("__v").isNotNull())
+    )
+    bounds = lookup_side(
+        values.groupBy(*keys, "__c").agg(
+            F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", ends, accuracy).alias("__ends")
         )
+    )
+    wanted = {}
+    for s in specs.values():
+        wanted.setdefault(columns.index(s.column), set()).add(probs.index(s.probability))
+    big = F.col("__n") > accuracy
+    marks = []
+    for j in range(len(probs)):
+        used = [c for c, js in wanted.items() if j in js]
+        low, high = F.get("__ends", F.lit(2 * j)), F.get("__ends", F.lit(2 * j + 1))
+        inside = F.col("__c").isin(used) & ~(big & (F.col("__v") > high))
+        kept = F.when(~(big & (F.col("__v") < low)), F.col("__v"))
+        marks.append(F.when(inside, F.struct(F.lit(j).alias("q"), kept.alias("v"))))
     counts = (
-        joined.select(*keys, F.explode(F.array_compact(F.array(*marks))).alias("m"))
-        .groupBy(*keys, F.col("m.q").alias("__q"), F.col("m.v").alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__c"), F.max("m.n").alias("__n"))
+        values.join(bounds, [*keys, "__c"])
+        .select(*keys, "__c", "__n", F.explode(F.array_compact(F.array(*marks))).alias("__m"))
+        .groupBy(*keys, "__c", F.col("__m.q").alias("__q"), F.col("__m.v").alias("__v"))
+        .agg(F.count(F.lit(1)).alias("__rows"), F.max("__n").alias("__n"))
     )
-    order = W.partitionBy(*keys, "__q").orderBy(F.col("__v").asc_nulls_first())
-    ranked = counts.withColumn(
-        "__cum", F.sum("__c").over(order.rowsBetween(W.unboundedPreceding, 0))
+    group = [*keys, "__c", "__q"]
+    order = W.partitionBy(*group).orderBy(F.col("__v").asc_nulls_first())
+    running = F.sum("__rows").over(order.rowsBetween(W.unboundedPreceding, 0))
+
+    def each(of: Callable[[str, Quantile], Column]) -> Column:
+        """Pick the expression of the spec a row belongs to."""
+        out = None
+        for name, s in specs.items():
+            mine = (F.col("__c") == columns.index(s.column)) & (F.col("__q") == probs.index(s.probability))
+            out = F.when(mine, of(name, s)) if out is None else out.when(mine, of(name, s))
+        return out
+
+    ranked = counts.withColumns({"__cum": running, "__pos": each(lambda name, s: s.at(F.col("__n")))})
+    missed = F.col("__v").isNull() & (F.col("__cum") > F.floor("__pos"))
+    guarded = F.when(
+        missed, F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+    ).otherwise(F.col("__v"))
+    found = ranked.groupBy(*group).agg(
+        F.min(F.when(F.col("__cum") > F.floor("__pos"), guarded)).alias("__lo"),
+        F.min(F.when(F.col("__cum") > F.ceil("__pos"), F.col("__v"))).alias("__hi"),
+        F.max(F.col("__pos") - F.floor("__pos")).alias("__f"),
     )
-    out = []
-    for i, name in enumerate(names):
-        pos = specs[name].at(F.col("__n"))
-        lower, upper = F.floor(pos), F.ceil(pos)
-        mine = F.col("__q") == i
-        guarded = F.when(
-            F.col("__v").isNull() & (F.col("__cum") > lower),
-            F.raise_error(F.lit(f"quantile bracket missed for {name}")).cast("double"),
-        ).otherwise(F.col("__v"))
-        out += [
-            F.min(F.when(mine & (F.col("__cum") > lower), guarded)).alias(f"__lo_{i}"),
-            F.min(F.when(mine & (F.col("__cum") > upper), F.col("__v"))).alias(f"__hi_{i}"),
-            F.max(F.when(mine, pos - lower)).alias(f"__f_{i}"),
-        ]
-    picked = ranked.groupBy(*keys).agg(*out)
-    return picked.select(
-        *keys,
-        *[
-            (
-                F.col(f"__lo_{i}")
-                + F.when(
-                    F.col(f"__f_{i}") > 0,
-                    (F.col(f"__hi_{i}") - F.col(f"__lo_{i}")) * F.col(f"__f_{i}"),
-                ).otherwise(0.0)
-            ).alias(name)
-            for i, name in enumerate(names)
-        ],
+    step = F.when(F.col("__f") > 0, (F.col("__hi") - F.col("__lo")) * F.col("__f")).otherwise(0.0)
+    picked = found.withColumns(
+        {"__value": F.col("__lo") + step, "__name": each(lambda name, s: F.lit(name))}
+    )
+    return picked.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("__name") == name, F.col("__value"))).alias(name) for name in specs]
     )
 
 
@@ -150,15 +137,11 @@ def running_totals(
         *[F.sum(c).alias(n) for n, c in sums.items()]
     )
     probs = [i / buckets for i in range(1, buckets)]
-    edges = materialize(
-        flat.groupBy(*keys).agg(
-            F.percentile_approx(order_by, probs, 16 * buckets).alias("__edges")
-        )
-    )
+    edges = flat.groupBy(*keys).agg(F.percentile_approx(order_by, probs, 4 * buckets).alias("__edges"))
     if keys:
-        tagged = flat.join(edges, keys)
+        tagged = flat.join(lookup_side(edges, MAX_EDGE_ROWS), keys)
     else:
-        tagged = flat.withColumn("__edges", edges.scalar())
+        tagged = flat.withColumn("__edges", materialize(edges).scalar())
     tagged = tagged.withColumn(
         "__bucket",
         F.size(F.filter("__edges", lambda e: e < F.col(order_by))),

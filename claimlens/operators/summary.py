@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.checkpoints import lookup_side
 from ..functions.columns import ratio_vs_benchmark, safe_zscore
 from ..functions.ranking import Quantile, exact_quantiles
 from ..schemas import HIGH_COMPLEXITY_CODES
@@ -18,18 +19,6 @@ CELL_ATTRIBUTES = [
     "provider_state",
     "provider_gender",
 ]
-CELL_SUMS = [
-    "total_services",
-    "total_beneficiaries",
-    "total_beneficiary_day_services",
-    "submitted_charges",
-    "medicare_payments",
-    "medicare_allowed",
-    "standardized_payments",
-    "facility_services",
-    "office_services",
-    "drug_services",
-]
 
 
 def billing_cells(claims: DataFrame) -> DataFrame:
@@ -38,14 +27,15 @@ def billing_cells(claims: DataFrame) -> DataFrame:
     Every provider-level operator reads sums over these keys, so the lines are
     scanned once and combined map-side before anything is shuffled by provider;
     a provider that holds a third of all lines shrinks to its distinct cells.
+    Names and other attributes are grouping keys: a minimum over text would turn
+    the hash aggregate over all lines into a sort.
     """
     services = F.col("total_services")
 
     def only(flag: Column) -> Column:
         return F.sum(F.when(flag, services).otherwise(0.0))
 
-    return claims.groupBy(*CELL_KEYS).agg(
-        *[F.min(c).alias(c) for c in CELL_ATTRIBUTES],
+    return claims.groupBy(*CELL_KEYS, *CELL_ATTRIBUTES).agg(
         F.sum(services).alias("total_services"),
         F.sum("total_beneficiaries").alias("total_beneficiaries"),
         F.sum("total_beneficiary_day_services").alias("total_beneficiary_day_services"),
@@ -193,8 +183,10 @@ def feature_mart(enriched: DataFrame, benchmarks: DataFrame, mix: DataFrame) ->
     The peer tables have one row per specialty; their size is measured at run
     time, so they are broadcast when small and shuffled otherwise.
     """
-    peers = benchmarks.join(specialty_upcoding(mix), "specialty", "full").withColumnRenamed(
-        "specialty", "provider_specialty"
+    peers = lookup_side(
+        benchmarks.join(specialty_upcoding(mix), "specialty", "full").withColumnRenamed(
+            "specialty", "provider_specialty"
+        )
     )
     joined = enriched.join(provider_upcoding(mix), "npi", "left").join(
         peers, "provider_specialty", "left"

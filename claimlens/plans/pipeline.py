@@ -33,11 +33,12 @@ def build_mart(inputs: FeatureInputs) -> MartTables:
 
     The claim lines are read once: they are combined into billing cells, laid
     out by provider and stored. Summary, mix and the later features then group
-    by provider without another shuffle of the lines.
+    by provider without another shuffle.
     """
-    cells = materialize(summary.billing_cells(inputs.claims).repartition("npi"))
-    mix = summary.hcpcs_mix(cells, inputs.high_complexity)
-    providers = materialize(summary.claims_summary(cells))
+    cells = summary.billing_cells(inputs.claims).repartition("npi")
+    cells = materialize(cells.sortWithinPartitions("npi", "hcpcs_code"), keep_layout=True)
+    mix = materialize(summary.hcpcs_mix(cells, inputs.high_complexity), keep_layout=True)
+    providers = materialize(summary.claims_summary(cells), keep_layout=True)
     mart = summary.feature_mart(
         summary.enrich_providers(providers, inputs.registry, inputs.labels),
         summary.specialty_benchmarks(providers),
@@ -50,10 +51,9 @@ def build_features(inputs: FeatureInputs, tables: MartTables | None = None) -> D
     """Claims to the full feature table, one row per provider."""
     tables = tables or build_mart(inputs)
     mart = materialize(tables.mart)
-    mix = materialize(tables.mix)
     return features.combine_features(
         mart,
-        features.jsd_vs_specialty(mix),
+        features.jsd_vs_specialty(tables.mix),
         features.zip_entropy(tables.cells),
         features.billing_velocity(tables.cells),
         features.mahalanobis_distance(mart),

@@ -11,7 +11,7 @@ from .catalog import query, rounded
 from .oracles import block
 from .oracles import rounded as sql_round
 from .oracles import sql
-from .queries_summary import cells, mix, providers
+from .queries_summary import providers, stored_mix, stored_providers
 
 block(
     "labels0",
@@ -282,7 +282,7 @@ def volume_flags(spark, d):
     sql("SELECT specialty, hcpcs_code, round(q, 6) AS q FROM median_mix WHERE q > 0", "median_mix"),
 )
 def specialty_median_mix(spark, d):
-    rows = features.specialty_median_mix(mix(spark, d)).where(F.col("q") > 0)
+    rows = features.specialty_median_mix(stored_mix(spark, d)).where(F.col("q") > 0)
     return rounded(rows, {"specialty": None, "hcpcs_code": None, "q": 6})
 
 
@@ -291,7 +291,7 @@ def specialty_median_mix(spark, d):
     sql("SELECT npi, specialty, round(jsd_vs_specialty, 6) AS jsd_vs_specialty FROM jsd", "jsd"),
 )
 def jsd_vs_specialty(spark, d):
-    rows = features.jsd_vs_specialty(mix(spark, d))
+    rows = features.jsd_vs_specialty(stored_mix(spark, d))
     return rounded(rows, {"npi": None, "specialty": None, "jsd_vs_specialty": 6})
 
 
@@ -315,7 +315,7 @@ def billing_velocity(spark, d):
 
 
 def with_specialty(spark, d):
-    return providers(spark, d).withColumn(
+    return stored_providers(spark, d).withColumn(
         "provider_specialty", F.coalesce("provider_type", F.lit("Unknown"))
     )
 

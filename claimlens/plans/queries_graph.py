@@ -393,9 +393,9 @@ def stratified_split(spark, d):
 @query(
     "stratified_split_counts",
     sql(
-        "SELECT is_excluded, unnest(['test', 'train']) AS split,"
+        "SELECT * FROM (SELECT is_excluded, unnest(['test', 'train']) AS split,"
         " unnest([round(count(*) * 0.2::DOUBLE)::BIGINT, (count(*) - round(count(*) * 0.2::DOUBLE))::BIGINT]) AS n"
-        " FROM mart GROUP BY is_excluded",
+        " FROM mart GROUP BY is_excluded) WHERE n > 0",
         "mart",
     ),
 )
