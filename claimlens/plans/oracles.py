@@ -6,6 +6,7 @@ with the blocks it needs, dependencies first.
 
 from __future__ import annotations
 
+from .catalog import NUDGE, NUDGED
 from .testbed import EXCLUSION_TYPES, HIGH_CODES, NAME_KEYS
 
 _HIGH = ", ".join(f"'{c}'" for c in HIGH_CODES)
@@ -210,4 +211,10 @@ block(
 
 def rounded(columns: dict[str, int | None]) -> str:
     """Select list: columns with a digit count are rounded, others pass."""
-    return ", ".join(c if d is None else f"round({c}, {d}) AS {c}" for c, d in columns.items())
+
+    def show(c: str, digits: int | None) -> str:
+        if digits is None:
+            return c
+        return f"round({c} + {NUDGE}, {digits}) AS {c}" if c in NUDGED else f"round({c}, {digits}) AS {c}"
+
+    return ", ".join(show(c, d) for c, d in columns.items())

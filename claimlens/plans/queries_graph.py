@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.checkpoints import materialize
 from ..operators import graph, prepare, quality, staging, summary
 from . import pipeline, testbed
-from .catalog import query, rounded
+from .catalog import NUDGE, NUDGED, query, rounded
 from .oracles import block, sql
 from .queries_features import inputs, labels
 from .queries_summary import mix
@@ -360,7 +360,7 @@ block(
     "impute",
     sql(
         "SELECT npi, "
-        + ", ".join(f"round(coalesce({c}, (SELECT median({c}) FROM h)), 6) AS {c}" for c in PREP_FEATURES)
+        + ", ".join(f"round(coalesce({c}, (SELECT median({c}) FROM h)) + {NUDGE if c in NUDGED else 0}, 6) AS {c}" for c in PREP_FEATURES)
         + " FROM h",
         "h",
     ),
