@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.checkpoints import materialize
 from ..functions.similarity import ratio_score, token_set_score
-from ..operators import audit, linkage
+from ..operators import audit, linkage, staging
 from . import testbed
 from .catalog import query, rounded
 from .oracles import block, sql
@@ -380,3 +380,18 @@ def audit_decisions(spark, d):
 @query("audit_sample")
 def audit_sample(spark, d):
     return audit.audit_sample(kept(spark, d))
+
+
+@query(
+    "stage_labels",
+    sql(
+        "SELECT npi, TRUE AS is_excluded, match_tier, round(similarity_score, 6) AS similarity_score,"
+        " leie_excltype AS exclusion_type, strptime(leie_excldate, '%Y%m%d')::DATE AS exclusion_date,"
+        " TRUE AS is_currently_excluded, leie_specialty, leie_row_n_candidates, provider_n_leie_rows"
+        " FROM final_labels",
+        "final_labels",
+    ),
+)
+def stage_labels(spark, d):
+    linked = linkage.link_labels(listed(spark, d), names(spark, d), CONFIG)
+    return rounded_labels(staging.stage_labels(linked))

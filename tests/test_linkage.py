@@ -174,3 +174,31 @@ def test_audit_flags_and_sample(spark):
     report = {r["match_tier"]: r for r in audit.audit_report(out).collect()}
     assert report[3]["n_flagged"] == 3 and "75.0%" in report[3]["decision"] and report[1]["decision"] is None
     assert audit.audit_sample(out, {1: 1, 3: 2}).count() == 3
+
+
+def test_one_name_on_both_sides_stays_linear(spark):
+    """20,000 list rows and 20,000 providers share a name: 4e8 pairs are never formed."""
+    n = 20_000
+    raw = spark.range(n).select(
+        *[
+            {
+                "LASTNAME": F.lit("SMITH"),
+                "FIRSTNAME": F.lit("JOHN"),
+                "NPI": F.lit("0000000000"),
+                "STATE": F.lit("TX"),
+                "EXCLDATE": F.format_string("2020%04d", F.col("id") % 1000),
+            }.get(c, F.lit("")).alias(c)
+            for c in EXCLUSION_SCHEMA.fieldNames()
+        ]
+    )
+    prov = spark.range(n).select(
+        F.format_string("%010d", "id").alias("npi"),
+        F.lit("SMITH").alias("provider_last_name"),
+        F.lit("JOHN").alias("provider_first_name"),
+        F.lit("TX").alias("provider_state"),
+        F.lit("Cardiology").alias("provider_type"),
+        F.lit("I").alias("entity_type"),
+    )
+    labels = linkage.link_labels(linkage.load_exclusions(raw), linkage.load_providers(prov))
+    r = labels.agg(F.count("*"), F.min("exclusion_date"), F.max("leie_row_n_candidates"), F.max("provider_n_leie_rows")).first()
+    assert tuple(r) == (n, "20200000", n * 20, 1000)

@@ -90,3 +90,17 @@ def test_constraints(spark):
     assert out == {"not_null": 1, "unique": 1, "accepted_values": 1}
     n = sum(len(c.not_null) + len(c.unique) + len(c.accepted) for c in quality.CONSTRAINTS.values())
     assert n == 34
+
+
+def test_tables_append_by_name_and_feature_fallback(spark):
+    writers.create_layers(spark, ["claimlens_test"])
+    try:
+        rows = spark.createDataFrame([("TX", 1)], "state string, n int")
+        writers.save_table(rows, "claimlens_test.mart")
+        writers.save_table(rows.select("n", "state"), "claimlens_test.mart", append=True)
+        both = readers.read_features(spark, "claimlens_test.full", "claimlens_test.mart")
+        assert [tuple(r) for r in both.collect()] == [("TX", 1)] * 2
+        writers.save_table(rows.limit(0), "claimlens_test.full")
+        assert readers.read_features(spark, "claimlens_test.full", "claimlens_test.mart").count() == 0
+    finally:
+        spark.sql("DROP DATABASE claimlens_test CASCADE")
