@@ -143,7 +143,11 @@ block(
 
 
 def _cholesky_blocks() -> None:
-    """Distance by an unrolled Cholesky factorisation and forward substitution."""
+    """Distance by an unrolled Cholesky factorisation and forward substitution.
+
+    The tail series is summed over 400 terms, enough up to d2 = 300, beyond which
+    the probability is below 1e-50.
+    """
     f = MAHALANOBIS_FEATURES
     n = len(f)
     block(
@@ -185,7 +189,7 @@ def _cholesky_blocks() -> None:
         [prev],
         f"""
         SELECT npi, sqrt(d2) AS mahalanobis_distance,
-               CASE WHEN d2 IS NOT NULL THEN greatest(0, 1 - list_sum([exp(-d2 / 2 + (4.5 + k) * ln(d2 / 2) - lgamma(5.5 + k))
+               CASE WHEN d2 > 300 THEN 0 WHEN d2 IS NOT NULL THEN greatest(0, 1 - list_sum([exp(-d2 / 2 + (4.5 + k) * ln(d2 / 2) - lgamma(5.5 + k))
                              for k in range(0, 400)])) END AS mahalanobis_pvalue
         FROM (SELECT npi, {d2} AS d2 FROM {prev})
         """,
