@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, mixing, repetition
+from . import bpe, chat, fingerprint, lines, mixing, pseudonyms, repeats, repetition
 
 QUERIES = {}
 ORACLES = {}
@@ -32,12 +32,54 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+SPREAD = lines.Spread()
+
+OP3_SQL = f"""
+WITH l AS (
+  SELECT doc_id, source, p.i AS pos, trim(regexp_replace(string_split(text, chr(10))[p.i], '[\t\r\f\x0B]', ' ', 'g')) AS body
+  FROM documents, LATERAL (SELECT unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i) p),
+b AS (SELECT body FROM l WHERE body <> '' GROUP BY body HAVING count(DISTINCT coalesce('s' || source, 'n')) >= {SPREAD.sites}),
+h AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY body ORDER BY doc_id NULLS FIRST, pos) AS n FROM l JOIN b USING (body)),
+k AS (SELECT doc_id, pos FROM h WHERE n > 1),
+t AS (
+  SELECT l.doc_id, string_agg(string_split(d.text, chr(10))[l.pos], chr(10) ORDER BY l.pos) AS kept
+  FROM l JOIN documents d USING (doc_id) WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.doc_id = l.doc_id AND k.pos = l.pos) GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce((SELECT count(*) FROM k WHERE k.doc_id = d.doc_id), 0) AS removed_lines,
+  md5(coalesce(t.kept, '')) AS text_md5
+FROM documents d LEFT JOIN t USING (doc_id)
+"""
+
+
+@query("op3_line_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines removed from every document, and a digest of its remaining text."""
+    out = lines.remove_boilerplate(table(spark, sf_dir, "documents"), SPREAD)
+    return out.select("doc_id", "removed_lines", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"))
+
+
 @query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, shares and verdicts of all texts."""
     return repetition.repetition_report(table(spark, sf_dir, "documents"))
 
 
+@query("op5_substring_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every text because their window repeats."""
+    out = repeats.repeated_words(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+# a fixed key, so that reruns agree; a deployment passes its own
+PSEUDONYM_KEY = "claimlens"
+
+
+@query("op6_pseudonyms")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts with their personal values replaced."""
+    return pseudonyms.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+
 def vocabulary() -> bytes:
     with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
         return f.read()
