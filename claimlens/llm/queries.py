@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, lines, mixing, pseudonyms, repeats, repetition
+from . import bpe, chat, fingerprint, jaccard, lines, mixing, pseudonyms, repeats, repetition
 
 QUERIES = {}
 ORACLES = {}
@@ -32,6 +32,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+@query("op2_ngram_jaccard_join")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 SPREAD = lines.Spread()
 
 OP3_SQL = f"""
