@@ -10,8 +10,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimlens.llm import bpe, mixing, queries, repetition
+from claimlens.llm import bpe, jaccard, lines, mixing, queries, repetition
 from claimlens.llm.frames import shared_folder
 
 
@@ -20,6 +21,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return repetition.filter_by_quality(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on many sources stay in their first document only; ``n_chars`` follows the text."""
+    out = lines.remove_boilerplate(docs, queries.SPREAD).drop("removed_lines")
+    return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return jaccard.one_per_class(docs)
+
+
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents appear as often as the mix takes them."""
     return mixing.repeat_by_mix(docs)
@@ -32,6 +44,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", jaccard_join),
     ("mixing sources", mixing_sources),
     ("byte-level BPE", byte_bpe),
 ]
