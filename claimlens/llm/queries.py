@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, jaccard, lines, mixing, pseudonyms, repeats, repetition
+from . import bpe, chat, context_tree, fingerprint, jaccard, lines, mixing, pseudonyms, repeats, repetition
 
 QUERIES = {}
 ORACLES = {}
@@ -98,6 +98,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary(), public_tokenizers.PATTERN, with_ids=False)
 
 
+@query("op8_context_tree")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all texts by a model of those whose id does not fall into the held-out seventh."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2
+    return context_tree.score_documents(docs, held_out).drop("n_bytes")
+
+
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from every document by the mix."""
