@@ -200,7 +200,7 @@ def compare_with_edits(docs: DataFrame, sampling: Sampling = Sampling()) -> Data
     target = spark.createDataFrame([(i, b) for i, b in before.items()], "id long, bucket long")
     heads = heads.join(F.broadcast(target), F.coalesce("doc_id", F.lit(low)) == F.col("id")).drop("id")
     placed = rows.withColumns({"tail": F.lit(False), "bucket": bucket_of(order_id)}).unionByName(heads)
-    ordered = placed.repartition(width, "bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_first(), "text")
+    ordered = placed.repartitionByRange(width, "bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_first(), "text")
     return ordered.mapInArrow(lambda batches: _edited_rows(batches, sampling), PAIR_SCHEMA)
 
 
