@@ -208,11 +208,17 @@ def permute_name(value: Column, key: str, invert: bool = False, letters: str = L
 
     # classes of characters do not change, so the shape is the same on both ways
     state = F.array(F.struct(F.substring(value, F.lit(1), cut).alias("l"), F.substring(value, cut + 1, n - cut).alias("r")))
+
+    def one(i: int) -> Callable[[Column], Column]:
+        def run(s: Column) -> Column:
+            if i % 2 == 0:
+                return F.struct(shifted(s["l"], s["r"], i).alias("l"), s["r"].alias("r"))
+            return F.struct(s["l"].alias("l"), shifted(s["r"], s["l"], i).alias("r"))
+
+        return run
+
     for i in list(range(4))[:: -1 if invert else 1]:
-        if i % 2 == 0:
-            state = F.transform(state, lambda s, i=i: F.struct(shifted(s["l"], s["r"], i).alias("l"), s["r"].alias("r")))
-        else:
-            state = F.transform(state, lambda s, i=i: F.struct(s["l"].alias("l"), shifted(s["r"], s["l"], i).alias("r")))
+        state = F.transform(state, one(i))
     return F.get(F.transform(state, lambda s: F.concat(s["l"], s["r"])), F.lit(0))
 
 
@@ -248,7 +254,7 @@ def kind_of(piece: Column) -> Column:
         .when(date_of(piece).isNotNull(), "date")
         .when(is_ssn(piece), "ssn")
         .when(is_card(piece), "card")
-        .when(~piece.rlike(r"^\d+$") & ~piece.rlike(r"^\d{4}-\d\d-\d\d$|^\d\d[./]\d\d[./]|^\d+(\.\d+){3}$|^(\d{4}[ -]){3}") & is_phone(piece), "phone")
+        .when(~piece.rlike(r"^\d+$") & ~piece.rlike(r"^\d{4}-\d\d-\d\d$|^\d{3}-\d\d-\d{4}$|^\d\d[./]\d\d[./]|^\d+(\.\d+){3}$|^(\d{4}[ -]){3}") & is_phone(piece), "phone")
     )
 
 
