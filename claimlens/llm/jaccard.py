@@ -231,6 +231,7 @@ def _exact(part: pa.Table, edges: np.ndarray, rule: Join) -> Batches:
     name = name.view(np.int64)
     wanted = part.column("name").to_numpy()
     block, copies = part.column("block").to_numpy(), part.column("copies").to_numpy()
+    cross = part.column("cross").to_numpy(zero_copy_only=False)
     first = np.searchsorted(owner, np.arange(len(size) + 1))
     left, right, weight = [], [], []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
@@ -249,7 +250,7 @@ def _exact(part: pa.Table, edges: np.ndarray, rule: Join) -> Batches:
         link = common >= rule.threshold * union - 1e-9
         np.fill_diagonal(link, False)
         parts = block[rows]
-        if parts.min() != parts.max():
+        if cross[a]:
             link &= parts[:, None] != parts[None, :]
         counted = link @ copies[rows].astype(np.float64)
         some = np.flatnonzero(counted > 0)
@@ -326,6 +327,7 @@ def classes(docs: DataFrame, rule: Join = Join()) -> DataFrame:
         "name",
         "copies",
         "block",
+        (F.col("block") != F.col("other")).alias("cross"),
         F.octet_length("text").cast("long").alias("bytes"),
         "text",
     )

@@ -78,7 +78,7 @@ def near_copies(n, seed=0):
     return out
 
 
-@pytest.mark.parametrize("rule", [jaccard.Join(), jaccard.Join(small=3, block_sets=40)])
+@pytest.mark.parametrize("rule", [jaccard.Join(), jaccard.Join(small=3, block_sets=40), jaccard.Join(block_sets=2, block_words=50)])
 def test_classes_and_links_equal_all_pairs(docs, rule):
     rng = random.Random(7)
     shared = " ".join(f"hot{i}" for i in range(12))
