@@ -21,7 +21,7 @@ def scratch(spark) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
 
 
-@query("npi_work_list", sql("SELECT DISTINCT npi FROM claims ORDER BY npi LIMIT 15000", "claims"))
+@query("npi_work_list", sql("SELECT DISTINCT npi FROM claims WHERE npi IS NOT NULL", "claims"))
 def npi_work_list(spark, d):
     return readers.npi_work_list(testbed.claims(spark, d))
 

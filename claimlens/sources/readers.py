@@ -29,34 +29,69 @@ def file_row_counts(spark: SparkSession, *paths: str) -> DataFrame:
     return rows.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def csv_files(spark: SparkSession, paths: list[str], name_glob: str = "*") -> list[str]:
+    """The files under ``paths`` (files or folders), through Spark's own file systems."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", name_glob).load(paths)
+    return [r.path for r in listing.select("path").orderBy("path").collect()]
+
+
+def read_csv_by_header(spark: SparkSession, files: list[str]) -> list[DataFrame]:
+    """One DataFrame of text columns per distinct header line of ``files``.
+
+    Spark takes the first file's header for all; files that order their columns
+    differently would be read by position. Broken rows (too few or too many cells)
+    are dropped whichever columns are asked for later: the parser always sees the
+    whole row.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        names = tuple(spark.read.option("header", True).csv(file).columns)
+        groups.setdefault(names, []).append(file)
+    tables = []
+    for names, members in groups.items():
+        broken = "__broken"
+        schema = ", ".join([*[f"`{n}` string" for n in names], f"{broken} string"])
+        raw = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("enforceSchema", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", broken)
+            .csv(members)
+        )
+        # a column test that needs every cell keeps the parser from skipping any
+        seen = F.concat(*[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names]) if names else F.lit("")
+        tables.append(raw.where(F.col(broken).isNull() & (F.length(seen) >= 0)).drop(broken))
+    return tables
+
+
 def read_exclusions(spark: SparkSession, *paths: str) -> DataFrame:
-    """Exclusion CSV as text; columns are found by header, broken rows skipped.
+    """Exclusion CSV as text; columns are found by each file's header, broken rows skipped.
 
     A file may order its columns freely or lack some of the known ones.
     """
-    raw = spark.read.option("header", True).option("mode", "DROPMALFORMED").csv(list(paths))
-    have = {c.lower() for c in raw.columns}
-    return raw.select(
-        *[
-            (F.col(f"`{c}`") if c.lower() in have else F.lit(None).cast("string")).alias(c)
-            for c in EXCLUSION_SCHEMA.fieldNames()
-        ]
-    )
+    wanted = EXCLUSION_SCHEMA.fieldNames()
+    out = None
+    for raw in read_csv_by_header(spark, csv_files(spark, list(paths))):
+        have = {c.lower() for c in raw.columns}
+        part = raw.select(*[(F.col(f"`{c}`") if c.lower() in have else F.lit(None).cast("string")).alias(c) for c in wanted])
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], EXCLUSION_SCHEMA) if out is None else out
 
 
 def read_registry(spark: SparkSession, path: str, name_part: str = "npidata_pfile") -> DataFrame:
     """Registry CSV files whose name contains ``name_part``: ten of several
-    hundred columns, renamed."""
-    raw = (
-        spark.read.option("header", True)
-        .option("mode", "DROPMALFORMED")
-        .option("pathGlobFilter", f"*{name_part}*.csv")
-        .csv(path)
-    )
-    absent = missing_columns(raw, list(REGISTRY_COLUMNS))
-    if absent:
-        raise ValueError(f"registry file lacks columns {absent}")
-    return raw.select(*[F.col(f"`{old}`").alias(new) for old, new in REGISTRY_COLUMNS.items()])
+    hundred columns, renamed; each file's own header counts."""
+    out = None
+    for raw in read_csv_by_header(spark, csv_files(spark, [path], f"*{name_part}*.csv")):
+        absent = missing_columns(raw, list(REGISTRY_COLUMNS))
+        if absent:
+            raise ValueError(f"registry file lacks columns {absent}")
+        part = raw.select(*[F.col(f"`{old}`").alias(new) for old, new in REGISTRY_COLUMNS.items()])
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError(f"no registry file with {name_part} in its name under {path}")
+    return out
 
 
 def flatten_registry(records: DataFrame) -> DataFrame:
@@ -91,9 +126,10 @@ def parse_registry_records(df: DataFrame, column: str) -> DataFrame:
     return flatten_registry(df.select(F.from_json(column, REGISTRY_RECORD_SCHEMA).alias("r")).select("r.*"))
 
 
-def npi_work_list(claims: DataFrame, cap: int = 15_000) -> DataFrame:
-    """The first ``cap`` distinct provider ids in id order."""
-    return claims.select("npi").where(F.col("npi").isNotNull()).distinct().orderBy("npi").limit(cap)
+def npi_work_list(claims: DataFrame, first: int | None = None) -> DataFrame:
+    """All distinct provider ids, or the ``first`` ones in id order."""
+    ids = claims.select("npi").where(F.col("npi").isNotNull()).distinct()
+    return ids if first is None else ids.orderBy("npi").limit(first)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -33,6 +33,25 @@ def test_exclusions_csv_skips_broken_rows(spark, tmp_path):
     assert staging.stage_exclusions(df).first()["exclusion_date"] is None
 
 
+def test_exclusion_files_of_different_headers_and_broken_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("LASTNAME,FIRSTNAME,NPI\nDOE,JOHN,1\nBROKEN\nROE,JANE,2,too,many\n")
+    (tmp_path / "b.csv").write_text("NPI,LASTNAME,FIRSTNAME,EXCLTYPE\n3,POE,ANN,1128a1\n4\n")
+    df = readers.read_exclusions(spark, str(tmp_path))
+    want = [("DOE", "JOHN", "1", None), ("POE", "ANN", "3", "1128a1")]
+    assert sorted(tuple(r) for r in df.select("LASTNAME", "FIRSTNAME", "NPI", "EXCLTYPE").collect()) == sorted(want, key=lambda r: r[0])
+    assert df.count() == 2 and df.select("LASTNAME").count() == 2 and len(df.select("LASTNAME").collect()) == 2
+
+
+def test_registry_files_of_different_headers(spark, tmp_path):
+    names = list(REGISTRY_COLUMNS)
+    for k, order in enumerate((names, names[::-1])):
+        (tmp_path / f"npidata_pfile_{k}.csv").write_text(",".join(f'"{c}"' for c in order) + "\n" + ",".join(f"{c[:3]}{k}" for c in order) + "\nx,y\n")
+    rows = readers.read_registry(spark, str(tmp_path)).collect()
+    assert len(rows) == 2
+    for k, r in enumerate(sorted(rows, key=lambda r: r["npi"])):
+        assert [r[new] for new in REGISTRY_COLUMNS.values()] == [f"{old[:3]}{k}" for old in names]
+
+
 def test_registry_csv_picks_columns_and_files(spark, tmp_path):
     header = ",".join(f'"{c}"' for c in [*REGISTRY_COLUMNS, "Unused"])
     (tmp_path / "npidata_pfile_1.csv").write_text(header + "\n1,2,L,F,O,TX,75001,207R,2010-01-01,M,z\n")
