@@ -2,43 +2,51 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # rows of a narrow lookup table (tens of MB at most) that may be broadcast
 BROADCAST_ROWS = 100_000
 
 
-AQE = "spark.sql.adaptive.enabled"
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder for stored results: ``spark.checkpoint.dir``, else the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def materialize(df: DataFrame, keep_layout: bool = False) -> DataFrame:
-    """Write ``df`` once and cut its lineage.
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small ``df`` once and cut its lineage.
+
+    The files go to the shared work folder and outlive any executor. Rows are
+    stored whole; tables that later readers prune belong into ``store_by``.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(f"{work_folder(df.sparkSession)}/checkpoints")
+    return df.checkpoint(eager=True)
 
-    The files go to the shared folder named by ``spark.checkpoint.dir``; they
-    outlive any executor. Only a session without that setting (unit tests) gets
-    a folder of its own.
 
-    An adaptive plan does not report how its result is partitioned and sorted.
-    ``keep_layout`` plans this one write without adaptive execution, so that
-    later joins and aggregates on the layout keys need no shuffle.
+def store_by(df: DataFrame, *keys: str, arranged: bool = False) -> DataFrame:
+    """Store ``df`` as a Parquet table bucketed and sorted by ``keys``.
+
+    Joins and aggregates on the keys need no shuffle, scans read only the columns
+    they use, and the write runs under adaptive execution like any other. With
+    ``arranged`` the rows are known to be partitioned by the keys already.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="claimlens-"))
-    if not keep_layout:
-        return df.checkpoint(eager=True)
-    before = spark.conf.get(AQE)
-    spark.conf.set(AQE, "false")
-    try:
-        # a no-op filter gives a plan that has not been made adaptive yet
-        return df.where("true").checkpoint(eager=True)
-    finally:
-        spark.conf.set(AQE, before)
+    name = f"layer_{uuid.uuid4().hex}"
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (
+        (df if arranged else df.repartition(width, *keys))
+        .write.format("parquet")
+        .option("path", f"{work_folder(spark)}/layers/{name}")
+        .bucketBy(width, *keys)
+        .sortBy(*keys)
+        .saveAsTable(name)
+    )
+    return spark.table(name)
 
 
 def lookup_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from ..functions.checkpoints import materialize
+from ..functions.checkpoints import materialize, store_by
 from ..operators import features, summary
 from ..schemas import HIGH_COMPLEXITY_CODES
 
@@ -35,10 +35,9 @@ def build_mart(inputs: FeatureInputs) -> MartTables:
     out by provider and stored. Summary, mix and the later features then group
     by provider without another shuffle.
     """
-    cells = summary.billing_cells(inputs.claims).repartition("npi")
-    cells = materialize(cells.sortWithinPartitions("npi", "hcpcs_code"), keep_layout=True)
-    mix = materialize(summary.hcpcs_mix(cells, inputs.high_complexity), keep_layout=True)
-    providers = materialize(summary.claims_summary(cells), keep_layout=True)
+    cells = store_by(summary.billing_cells(inputs.claims), "npi")
+    mix = store_by(summary.hcpcs_mix(cells, inputs.high_complexity), "npi", arranged=True)
+    providers = store_by(summary.claims_summary(cells), "npi", arranged=True)
     mart = summary.feature_mart(
         summary.enrich_providers(providers, inputs.registry, inputs.labels),
         summary.specialty_benchmarks(providers),

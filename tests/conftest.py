@@ -1,11 +1,15 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+# one machine only: a temporary folder is shared by all tasks here
+FOLDER = tempfile.mkdtemp(prefix="tests-")
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -16,6 +20,9 @@ def spark():
         .appName("claimlens-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", FOLDER)
+        .config("spark.checkpoint.dir", FOLDER)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

@@ -2,6 +2,7 @@
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -11,12 +12,18 @@ import __spark_entry__ as entry
 import harness
 from pyspark.sql import SparkSession
 
+# one machine only: a temporary folder is shared by all tasks here
+FOLDER = tempfile.mkdtemp(prefix="work-")
+
 if __name__ == "__main__":
     sf, wanted = sys.argv[1], sys.argv[2:]
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", FOLDER)
+        .config("spark.checkpoint.dir", FOLDER)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .getOrCreate()
