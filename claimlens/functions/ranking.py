@@ -108,6 +108,13 @@ def exact_quantiles(
         F.min(F.when(F.col("__cum") > F.floor("__pos"), guarded)).alias("__lo"),
         F.min(F.when(F.col("__cum") > F.ceil("__pos"), F.col("__v"))).alias("__hi"),
         F.max(F.col("__pos") - F.floor("__pos")).alias("__f"),
+        F.max("__cum").alias("__last"),
+        F.max(F.ceil("__pos")).alias("__top"),
+    )
+    # the wanted rows lie above the bracket: never answer NULL for them
+    found = found.withColumn(
+        "__lo",
+        F.when(F.col("__last") <= F.col("__top"), F.raise_error(F.lit("quantile outside its bracket")).cast("double")).otherwise(F.col("__lo")),
     )
     step = F.when(F.col("__f") > 0, (F.col("__hi") - F.col("__lo")) * F.col("__f")).otherwise(0.0)
     picked = found.withColumns(
@@ -216,7 +223,7 @@ def positives_in_top_k(
         ).alias("w"),
     ).select(*keys, "n", "positives", "w.*")
     if keys:
-        lined = curve.drop("n", "pos").join(wanted, keys)
+        lined = curve.drop("n", "pos").join(lookup_side(wanted, MAX_EDGE_ROWS), keys)
     else:
         holder = wanted.select(F.collect_list(F.struct("*")).alias("w"))
         lined = (
@@ -241,6 +248,7 @@ def positives_in_top_k(
     open_cuts = edge.where((F.col("__full_n") < F.col("k")) & F.col("__edge").isNotNull()).select(
         *keys, "cutoff", F.col("__edge").alias("__s"), (F.col("k") - F.col("__full_n")).alias("__need")
     )
+    open_cuts = lookup_side(open_cuts)
     straddling = rows.join(open_cuts, [*keys, "__s"])
     partial = (
         running_totals(

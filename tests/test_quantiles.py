@@ -57,3 +57,10 @@ def test_top_k_breaks_ties_by_id(spark):
     for k, r in got.items():
         assert r["hits"] == sum(x[2] for x in ranked[: int(k)])
         assert (r["n"], r["positives"]) == (400, 80)
+
+
+@pytest.mark.parametrize("at", [lambda n: n - 1, lambda n: F.lit(0)])
+def test_a_missed_bracket_raises(spark, at):
+    df = spark.range(20000).select(F.col("id").cast("double").alias("x"))
+    with pytest.raises(Exception, match="outside its bracket"):
+        exact_quantiles(df, [], {"q": Quantile("x", 0.5, at)}).collect()
