@@ -100,3 +100,9 @@ def min_max(x, lo, hi) -> Column:
     """Scale to [0, 1]; a zero range gives 0."""
     c = col(x)
     return F.when(hi == lo, F.lit(0.0)).otherwise(F.try_divide(c - lo, hi - lo))
+
+
+def seeded(seed: int, *columns: str) -> Column:
+    """A draw of 52 bits from a seed and some columns, equal in every engine that has MD5."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.checkpoints import materialize
-from ..functions.columns import finite
+from ..functions.checkpoints import lookup_side, materialize
+from ..functions.columns import finite, seeded
 from ..functions.ranking import Quantile, exact_quantiles
 from ..schemas import FRAUD_EXCLUSION_TYPES, LABEL, MIN_PAYMENTS_FOR_LABEL, ML_FEATURES
 
-HASH_BITS = 52
 
 
 def filter_labels(
@@ -74,14 +73,13 @@ def stratified_split(
     The cut-off hash per class is an exact order statistic, so no class is
     sorted in one task and the share is not merely expected.
     """
-    h = F.pmod(F.xxhash64("npi", F.lit(seed)), F.lit(1 << HASH_BITS)).cast("double")
-    hashed = df.withColumn("__h", h)
+    hashed = df.withColumn("__h", seeded(seed, "npi").cast("double"))
     wanted = lambda n: F.round(n * F.lit(test_size))
     cut = exact_quantiles(
         hashed, [label], {"__cut": Quantile("__h", test_size, lambda n: F.greatest(wanted(n) - 1, F.lit(0)))}
     )
     counts = hashed.groupBy(label).agg(wanted(F.count(F.lit(1))).alias("__k"))
-    edges = materialize(cut.join(counts, label))
+    edges = lookup_side(cut.join(counts, label))
     test = (F.col("__k") > 0) & (F.col("__h") <= F.col("__cut"))
     return (
         hashed.join(edges, label)

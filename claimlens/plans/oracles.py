@@ -7,7 +7,7 @@ with the blocks it needs, dependencies first.
 from __future__ import annotations
 
 from .catalog import NUDGE, NUDGED
-from .testbed import EXCLUSION_TYPES, HIGH_CODES, NAME_KEYS
+from .testbed import EXCLUSION_TYPES, HIGH_CODES
 
 _HIGH = ", ".join(f"'{c}'" for c in HIGH_CODES)
 _TYPES = ", ".join(f"'{t}'" for t in EXCLUSION_TYPES)
@@ -16,22 +16,29 @@ _TYPES = ", ".join(f"'{t}'" for t in EXCLUSION_TYPES)
 CTES: dict[str, tuple[list[str], str]] = {}
 
 
-def block(name: str, deps: list[str], body: str) -> None:
+# blocks that are read more than once and evaluated once
+KEPT: set[str] = set()
+
+
+def block(name: str, deps: list[str], body: str, kept: bool = False) -> None:
     CTES[name] = (deps, body)
+    if kept:
+        KEPT.add(name)
 
 
 def sql(query: str, *blocks: str) -> str:
     ordered: list[str] = []
 
     def visit(name: str) -> None:
+        if name in ordered:
+            return
         for dep in CTES[name][0]:
             visit(dep)
-        if name not in ordered:
-            ordered.append(name)
+        ordered.append(name)
 
     for b in blocks:
         visit(b)
-    with_clause = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in ordered)
+    with_clause = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in KEPT else ''}({CTES[n][1]})" for n in ordered)
     return f"WITH {with_clause}\n{query}" if ordered else query
 
 
@@ -47,7 +54,7 @@ block(
            lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state,
            CASE WHEN c_nationkey >= 20 THEN 'O' ELSE 'I' END AS entity,
            CASE WHEN c_acctbal < 4500 THEN 'F' ELSE 'M' END AS gender
-    FROM customer LEFT JOIN part ON p_partkey = c_custkey % {NAME_KEYS}
+    FROM customer LEFT JOIN part ON p_partkey = c_custkey % (SELECT count(*) FROM part) + 1
     """,
 )
 block(
@@ -218,3 +225,8 @@ def rounded(columns: dict[str, int | None]) -> str:
         return f"round({c} + {NUDGE}, {digits}) AS {c}" if c in NUDGED else f"round({c}, {digits}) AS {c}"
 
     return ", ".join(show(c, d) for c, d in columns.items())
+
+
+def seeded(seed: int, *columns: str) -> str:
+    """The draw of ``functions.columns.seeded`` in SQL."""
+    return f"('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(columns)})), 1, 13))::BIGINT"

@@ -8,11 +8,12 @@ from ..functions.checkpoints import materialize
 from ..operators import graph, prepare, quality, staging, summary
 from . import pipeline, testbed
 from .catalog import NUDGE, NUDGED, query, rounded
-from .oracles import block, sql
+from .oracles import block, seeded, sql
 from .queries_features import inputs, labels
 from .queries_summary import mix
 
-STEPS = 10
+# steps that the oracle offers; the change falls below N * TOL long before
+STEPS, TOL = 45, 1e-6
 
 block(
     "edges",
@@ -38,11 +39,12 @@ block(
     UNION ALL SELECT 'H' || hcpcs_code, 'P' || npi, weight FROM edges
     """,
 )
-block("moves", ["links"], "SELECT a, b, w / sum(w) OVER (PARTITION BY a) AS t FROM links")
+block("moves", ["links"], "SELECT a, b, w / sum(w) OVER (PARTITION BY a) AS t FROM links", kept=True)
 block(
     "rank0",
     ["moves"],
     "SELECT a AS node, 1.0::DOUBLE / (SELECT count(DISTINCT a) FROM moves) AS x FROM moves GROUP BY a",
+    kept=True,
 )
 for i in range(1, STEPS + 1):
     block(
@@ -50,11 +52,24 @@ for i in range(1, STEPS + 1):
         [f"rank{i - 1}", "moves"],
         f"SELECT b AS node, 0.15 / (SELECT count(*) FROM rank0) + 0.85 * sum(t * x) AS x"
         f" FROM moves JOIN rank{i - 1} ON node = a GROUP BY b",
+        kept=True,
     )
+# the first step whose total change is below the tolerance
 block(
-    "pagerank",
+    "stop",
     [f"rank{STEPS}"],
-    f"SELECT substr(node, 2) AS npi, x AS graph_pagerank FROM rank{STEPS} WHERE node LIKE 'P%'",
+    "SELECT min(i) AS i FROM ("
+    + " UNION ALL ".join(
+        f"SELECT {i} AS i, sum(abs(p.x - q.x)) AS c FROM rank{i} p JOIN rank{i - 1} q USING (node)" for i in range(1, STEPS + 1)
+    )
+    + f") WHERE c < {TOL} * (SELECT count(*) FROM rank0)",
+)
+block(
+    "pagerank",
+    ["stop"],
+    "SELECT substr(node, 2) AS npi, x AS graph_pagerank FROM ("
+    + " UNION ALL ".join(f"SELECT {i} AS i, * FROM rank{i}" for i in range(1, STEPS + 1))
+    + ") WHERE i = (SELECT i FROM stop) AND node LIKE 'P%'",
 )
 block(
     "clustering",
@@ -120,7 +135,7 @@ def graph_degrees(spark, d):
 
 @query("graph_pagerank", sql("SELECT npi, round(graph_pagerank, 10) AS graph_pagerank FROM pagerank", "pagerank"))
 def graph_pagerank(spark, d):
-    rows = graph.graph_pagerank(edges(spark, d), max_iter=STEPS, tol=None)
+    rows = graph.graph_pagerank(edges(spark, d), tol=TOL)
     return rounded(rows, {"npi": None, "graph_pagerank": 10})
 
 
@@ -142,7 +157,7 @@ def graph_community(spark, d):
     sql("SELECT npi, round(graph_anomaly_score, 6) AS graph_anomaly_score FROM graph_scores", "graph_scores"),
 )
 def graph_score(spark, d):
-    features = graph.graph_features(edges(spark, d), max_iter=STEPS, tol=None)
+    features = graph.graph_features(edges(spark, d), tol=TOL)
     return rounded(graph.graph_score(features), {"npi": None, "graph_anomaly_score": 6})
 
 
@@ -373,7 +388,7 @@ def impute(spark, d):
     "standard_scale",
     sql(
         "SELECT npi, " + ", ".join(
-            f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0), 6) AS {c}"
+            f"round(coalesce(({c} - avg({c}) OVER ()) / nullif(stddev_pop({c}) OVER (), 0), 0), 4) AS {c}"
             for c in PREP_FEATURES
         ) + " FROM mart",
         "mart",
@@ -381,11 +396,19 @@ def impute(spark, d):
 )
 def standard_scale(spark, d):
     return rounded(
-        prepare.standard_scale(mart(spark, d), PREP_FEATURES), {"npi": None, **{c: 6 for c in PREP_FEATURES}}
+        prepare.standard_scale(mart(spark, d), PREP_FEATURES), {"npi": None, **{c: 4 for c in PREP_FEATURES}}
     )
 
 
-@query("stratified_split")
+@query(
+    "stratified_split",
+    sql(
+        "SELECT npi, is_excluded, CASE WHEN row_number() OVER (PARTITION BY is_excluded ORDER BY h, npi)"
+        " <= round(count(*) OVER (PARTITION BY is_excluded) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split"
+        f" FROM (SELECT npi, is_excluded, {seeded(42, 'npi')} AS h FROM mart)",
+        "mart",
+    ),
+)
 def stratified_split(spark, d):
     return prepare.stratified_split(mart(spark, d)).select("npi", "is_excluded", "split")
 

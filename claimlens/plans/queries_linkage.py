@@ -372,7 +372,20 @@ def audit_report(spark, d):
     return audit.audit_report(kept(spark, d))
 
 
-@query("audit_decisions")
+@query(
+    "audit_decisions",
+    sql(
+        """
+        SELECT unnest(CASE WHEN len(d) > 0 THEN d ELSE ['All tiers within tolerance; no tightening recommended.'] END) AS decision
+        FROM (SELECT coalesce(list(decision) FILTER (WHERE decision IS NOT NULL), []) AS d FROM (
+            SELECT CASE WHEN match_tier IN (3, 4) AND rate > 0.15 THEN 'Tier ' || match_tier || ' estimated FP rate '
+                        || printf('%.1f', rate * 100) || '% exceeds 15% — recommend tightening.' END AS decision
+            FROM (SELECT match_tier, round(count(*) FILTER (WHERE coalesce(both_low, FALSE) OR last_too_short) / count(*), 4) AS rate
+                  FROM audited GROUP BY match_tier)))
+        """,
+        "audited",
+    ),
+)
 def audit_decisions(spark, d):
     return audit.audit_decisions(audit.audit_report(kept(spark, d)))
 

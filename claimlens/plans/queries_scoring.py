@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluation, features, reports, scoring
 from . import testbed
 from .catalog import query, rounded
-from .oracles import block, sql
+from .oracles import block, seeded, sql
 
 block(
     "layers",
@@ -377,6 +377,12 @@ def per_tier_eval(spark, d):
     )
 
 
+@query("per_tier_lift", sql(f"SELECT * FROM ({lift_sql('cohorts', 'cohort')}) WHERE positives > 0", "cohorts"))
+def per_tier_lift(spark, d):
+    rows = evaluation.per_tier_lift(risk(spark, d), tier_labels(spark, d))
+    return rounded(rows, {"cohort": None, **LIFT_CHECK})
+
+
 @query(
     "evaluation_bundle",
     sql(
@@ -692,7 +698,15 @@ def top_profile_specialties(spark, d):
     return reports.top_profile_specialties(risk(spark, d))
 
 
-@query("middle_sample")
+@query(
+    "middle_sample",
+    sql(
+        "SELECT npi, risk_score, is_excluded FROM risk WHERE risk_score BETWEEN"
+        " (SELECT quantile_cont(risk_score, 0.4) FROM risk) AND (SELECT quantile_cont(risk_score, 0.6) FROM risk)"
+        f" ORDER BY {seeded(7, 'npi')}, npi LIMIT 10",
+        "risk",
+    ),
+)
 def middle_sample(spark, d):
     return reports.middle_sample(risk(spark, d)).select("npi", "risk_score", "is_excluded")
 

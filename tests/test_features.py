@@ -120,8 +120,15 @@ def test_clustering_is_mean_overlap(spark):
     edges = spark.createDataFrame([(n, c, 0.5) for n, cs in sets.items() for c in cs], EDGES)
     out = {r["npi"]: r["graph_clustering"] for r in graph.graph_clustering(edges).collect()}
     assert out == {"A": pytest.approx((1 / 3 + 1 / 2) / 2), "B": pytest.approx(1 / 3), "C": pytest.approx(0.5), "D": 0.0}
-    capped = graph.graph_clustering(edges, max_nodes=2).collect()
-    assert len(capped) == 4 and sum(r["graph_clustering"] == out[r["npi"]] for r in capped) >= 2
+    blocked = graph.graph_clustering(edges, block_sets=1).collect()
+    assert {r["npi"]: r["graph_clustering"] for r in blocked} == {k: pytest.approx(v) for k, v in out.items()}
+
+
+def test_clustering_counts_providers_with_equal_sets(spark):
+    sets = {"A": "xy", "B": "xy", "C": "xy", "D": "xz"}
+    edges = spark.createDataFrame([(n, c, 0.5) for n, cs in sets.items() for c in cs], EDGES)
+    out = {r["npi"]: r["graph_clustering"] for r in graph.graph_clustering(edges, block_sets=1).collect()}
+    assert out == {n: pytest.approx((1 + 1 + 1 / 3) / 3 if n != "D" else 1 / 3) for n in sets}
 
 
 def test_minmax_of_a_constant_is_zero(spark):
