@@ -13,7 +13,7 @@ from .catalog import NUDGE, query
 from .oracles import block, sql
 from .queries_features import inputs
 from .queries_scoring import risk
-from .training import TrainingConfig, train
+from .training import train
 
 
 def dataset(spark, d):
@@ -24,44 +24,48 @@ def dataset(spark, d):
     return materialize(prepare.impute(split, SQL_FEATURES, split.where("split = 'train'")))
 
 
-def small_model(spark, d):
-    rows = dataset(spark, d)
-    return rows, boosting.fit_boosted(rows, SQL_FEATURES, max_iter=5, max_depth=3, early_stop=False)
+# fitted models by session and folder: five queries share one full-size training
+_models = {}
+
+
+def full_model(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _models:
+        rows = dataset(spark, d)
+        _models[key] = rows, boosting.fit_boosted(rows, SQL_FEATURES)
+    return _models[key]
 
 
 @query("iforest_scores")
 def iforest_scores(spark, d):
-    rows = forest.isolation_forest_scores(dataset(spark, d), SQL_FEATURES, trees=100)
+    rows = forest.isolation_forest_scores(dataset(spark, d), SQL_FEATURES)
     return rows.select("npi", "split", F.round("if_anomaly_score", 6).alias("if_anomaly_score"), "is_anomaly")
 
 
 @query("boosted_scores")
 def boosted_scores(spark, d):
-    rows, fitted = small_model(spark, d)
+    rows, fitted = full_model(spark, d)
     return boosting.boosted_scores(rows, fitted).select("npi", "split", "is_excluded", "xgb_fraud_prob")
 
 
 @query("feature_importance")
 def feature_importance(spark, d):
-    return boosting.feature_importance(spark, small_model(spark, d)[1])
+    return boosting.feature_importance(spark, full_model(spark, d)[1])
 
 
 @query("attributions")
 def attributions(spark, d):
-    rows, fitted = small_model(spark, d)
-    return boosting.attributions(rows, fitted, max_rows=1000)
+    return boosting.attributions(*full_model(spark, d))
 
 
 @query("top_contributors")
 def top_contributors(spark, d):
-    rows, fitted = small_model(spark, d)
-    return explain.top_contributors(boosting.attributions(rows, fitted, max_rows=1000))
+    return explain.top_contributors(boosting.attributions(*full_model(spark, d)))
 
 
 @query("explanations")
 def explanations(spark, d):
-    rows, fitted = small_model(spark, d)
-    top = explain.top_contributors(boosting.attributions(rows, fitted, max_rows=1000))
+    top = explain.top_contributors(boosting.attributions(*full_model(spark, d)))
     return explain.explain_providers(risk(spark, d), top).select("npi", "provider_name", "risk_tier", "narrative")
 
 
@@ -70,10 +74,7 @@ def trained_risk_table(spark, d):
     start = inputs(spark, d)
     tables = pipeline.build_mart(start)
     features = pipeline.build_features(start, tables)
-    config = TrainingConfig(
-        trees=50, boost_iterations=3, boost_depth=3, early_stop=False, pagerank_steps=5, pagerank_tol=None
-    )
-    return train(features, start.labels, tables.mix, config).risk_table
+    return train(features, start.labels, tables.mix).risk_table
 
 
 FEATURES = ["zscore_total_services", "zscore_total_payments", "zscore_total_beneficiaries",

@@ -16,8 +16,6 @@ HIGH_CODES = [
 ]
 # fixed values: exclusion types dealt out over the derived exclusion list
 EXCLUSION_TYPES = ["1128a1", "1128a2", "1128a3", "1128b4"]
-# fixed value: names come from this many part keys, present at every scale
-NAME_KEYS = 200
 STATES = tuple(f"{i:02d}" for i in range(25))
 
 
@@ -41,7 +39,7 @@ def providers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_acctbal",
         "c_nationkey",
         "c_mktsegment",
-        (F.col("c_custkey") % NAME_KEYS).alias("name_key"),
+        (F.col("c_custkey") % words.select(F.count(F.lit(1))).scalar() + 1).alias("name_key"),
     )
     return cust.join(words, "name_key", "left").select(
         "c_custkey",
