@@ -32,7 +32,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
-@query("op2_ngram_jaccard_join")
+WORDS_SQL = r"""w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents)"""
+
+OP2_SQL = f"""
+WITH RECURSIVE {WORDS_SQL},
+g AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i : i + 4], ' ') END AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM g a JOIN g b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE shared >= 0.8 * (a.size + b.size - shared) - 1e-9),
+r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.reached)
+SELECT doc_id, min(reached) AS class_id, (SELECT count(*) FROM l WHERE l.x = r.doc_id) AS n_links FROM r GROUP BY doc_id
+"""
+
+
+@query("op2_ngram_jaccard_join", OP2_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
     return jaccard.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
@@ -69,7 +88,20 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_report(table(spark, sf_dir, "documents"))
 
 
-@query("op5_substring_dedup")
+OP5_SQL = f"""
+WITH {WORDS_SQL},
+g AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i : i + 34], ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)),
+t AS (SELECT doc_id, i FROM g JOIN (SELECT h FROM g GROUP BY h HAVING count(*) > 1) USING (h)),
+gone AS (SELECT doc_id, list(DISTINCT i + k) AS places FROM t, (SELECT unnest(range(35)) AS k) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, len(coalesce(places, [])) AS n_removed,
+  sha256(array_to_string(list_filter(ws, lambda x, i: NOT list_contains(coalesce(places, []), i)), ' ')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query("op5_substring_dedup", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words removed from every text because their window repeats."""
     out = repeats.repeated_words(table(spark, sf_dir, "documents"))
@@ -112,7 +144,24 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents")).drop("source", "copies")
 
 
-@query("op10_chat_format")
+OP10_SQL = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, len(regexp_extract_all(text, '\\|</?s>|<\||\[/?INST\]')) + 2 * len(regexp_extract_all(text, '<</?SYS>>'))
+    + len(regexp_extract_all(text, '(^|[^<])</?SYS>>')) AS added FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(24 + length(role) + length(text) + added)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op10_chat_format", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, read back from their rendered form."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
