@@ -87,7 +87,8 @@ def remove_boilerplate(docs: DataFrame, rule: Spread = Spread()) -> DataFrame:
         first = hits.groupBy("a", "b").agg(F.min(order).alias("first")).select("a", "b", F.col("first.row").alias("row"), F.col("first.at").alias("at"))
         hits = hits.join(first, ["a", "b", "row", "at"], "left_anti")
     gone = hits.groupBy("row").agg(F.collect_set("at").alias("__gone")).withColumnRenamed("row", "__row")
-    marked = docs.withColumn("__here", F.xxhash64("doc_id", text_of())).join(gone, F.col("__here") == F.col("__row"), "left")
+    # rows with boilerplate grow with the corpus: a merge join at every size
+    marked = docs.withColumn("__here", F.xxhash64("doc_id", text_of())).join(gone.hint("merge"), F.col("__here") == F.col("__row"), "left")
     kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
     return marked.select(
         *[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in docs.columns],
