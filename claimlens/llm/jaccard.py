@@ -93,7 +93,7 @@ def _sketches(batches: Batches, length: int) -> Batches:
 def _split(rows: DataFrame) -> DataFrame:
     """Drop rows alone in their bucket; (name, run, path, n) of the others."""
     counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return stored(rows.join(counts, "path").select("name", "run", "path", "n"))
+    return stored(rows.join(counts.hint("merge"), "path").select("name", "run", "path", "n"))
 
 
 def meetings(base: DataFrame, rule: Join) -> DataFrame:
@@ -113,7 +113,7 @@ def meetings(base: DataFrame, rule: Join) -> DataFrame:
     edges = None
     for level in range(rule.depth):
         found = _split(live)
-        leaves = found.where(F.col("n") <= rule.small).join(base.select("name", "least"), "name").select("path", "name", "least")
+        leaves = found.where(F.col("n") <= rule.small).join(base.select("name", "least").hint("merge"), "name").select("path", "name", "least")
         near = (
             leaves.select("path", "name", F.col("least").alias("sample"))
             .repartition(shuffle_width(base.sparkSession), "path")
@@ -124,10 +124,10 @@ def meetings(base: DataFrame, rule: Join) -> DataFrame:
         large = found.where(F.col("n") > rule.small)
         if level + 1 < rule.depth:
             deeper = F.xxhash64("path", part(order_of(F.col("run"), level + 1)))
-            live = large.join(base.select("name", "least"), "name").select("name", "run", deeper.alias("path"))
+            live = large.join(base.select("name", "least").hint("merge"), "name").select("name", "run", deeper.alias("path"))
         else:
             leader = large.groupBy("path").agg(F.min("name").alias("b"))
-            edges = edges.unionByName(large.join(leader, "path").select(F.col("name").alias("a"), "b").where("a <> b"))
+            edges = edges.unionByName(large.join(leader.hint("merge"), "path").select(F.col("name").alias("a"), "b").where("a <> b"))
     return edges.distinct()
 
 
@@ -321,7 +321,8 @@ def classes(docs: DataFrame, rule: Join = Join()) -> DataFrame:
         F.greatest(F.ceil(F.sum("size") / rule.block_words), F.ceil(F.count(F.lit(1)) / rule.block_sets), F.lit(1).cast("long")).cast("int").alias("blocks")
     )
     members = groups.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int"))
-    texts = rows.select("k1", "text").join(members.select("k1", "name", "root", "copies", "block", "blocks"), "k1")
+    # members grow with the corpus: they join by a merge at every size, never by a broadcast
+    texts = rows.select("k1", "text").join(members.select("k1", "name", "root", "copies", "block", "blocks").hint("merge"), "k1")
     units = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.xxhash64("root", F.least("block", "other"), F.greatest("block", "other")).alias("unit"),
         "name",
@@ -351,4 +352,4 @@ def one_per_class(docs: DataFrame, rule: Join = Join()) -> DataFrame:
     keys = marked.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1")).alias("best"))
     kept = keys.select(F.col("best.k1").alias("__k1"))
     here = docs.withColumn("__here", F.xxhash64("doc_id", text_of()))
-    return here.join(kept, F.col("__here") == F.col("__k1")).dropDuplicates(["__here"]).select(*docs.columns)
+    return here.join(kept.hint("merge"), F.col("__here") == F.col("__k1")).dropDuplicates(["__here"]).select(*docs.columns)
