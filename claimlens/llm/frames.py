@@ -9,23 +9,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.functions.checkpoints import materialize
+from claimlens.functions.checkpoints import materialize, work_folder
 
 Batches = Iterator[pa.RecordBatch]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; without one, the session's warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-
-
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back.
 
     The files are compressed and columnar, later reads prune columns, and a lost
     executor costs a re-read only.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    path = f"{work_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -51,4 +46,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["arrow_map", "materialize", "shared_folder", "shuffle_width", "stored", "text_of"]
+__all__ = ["arrow_map", "materialize", "shuffle_width", "stored", "text_of", "work_folder"]
