@@ -74,7 +74,7 @@ class Sampler:
         head = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
         kinds = [(w, np.flatnonzero(weight == w)) for w in np.unique(weight) if w != 1]
         tables = [(where, *self.table(float(w))) for w, where in kinds]
-        ones, ones_t = self.table(1.0)
+        ones, _ = self.table(1.0)
         low = term & U64(0xFFFFFFFF)
         for k, key in enumerate(self.keys):
             entry = (term * key) >> U64(48)
@@ -83,17 +83,15 @@ class Sampler:
                 value[where] = other[entry[where]]
             value |= low
             best = np.minimum.reduceat(value, head)
-            # t of the chosen term, from its entry; most weights are 1
+            # t of the chosen term; it is 0 for weight 1, as most weights are
+            t = np.zeros(len(head), U64)
             if tables:
                 chosen = np.flatnonzero(value == np.repeat(best, np.diff(np.r_[head, len(value)])))
                 at = chosen[np.searchsorted(chosen, head)]
-                t = ones_t[entry[at]]
                 for where, _, other_t in tables:
                     mine = np.isin(at, where)
                     t[mine] = other_t[entry[at[mine]]]
-                best = mix(best & U64(0xFFFFFFFF)) ^ mix(t)
-            else:
-                best = mix(best & U64(0xFFFFFFFF)) ^ mix(ones_t[entry[:1]] * U64(0))
+            best = mix(best & U64(0xFFFFFFFF)) ^ mix(t)
             out[owner[head], k] = (mix(best) >> U64(48)).astype(np.uint16)
         return out
 
