@@ -11,10 +11,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .frames import arrow_map, text_of
-from .words import SPACE, Texts, per_text, pieces, repeats
+from .words import Texts, per_text, pieces, repeats
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True

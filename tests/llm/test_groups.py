@@ -4,15 +4,13 @@ import random
 import re
 from collections import Counter, defaultdict
 
-import harness
 import pytest
 from llm_rows import ODD
 from pyspark.sql import functions as F
 
-from claimlens.llm import jaccard, lines, queries
+from claimlens.llm import jaccard, lines
 from claimlens.llm.components import components
 
-SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -96,12 +94,6 @@ def test_one_row_of_each_class_stays(docs):
     assert jaccard.one_per_class(docs([])).count() == 0
 
 
-def test_line_spread_oracle(work):
-    con = harness.connect(SF)
-    name = "op3_line_dedup"
-    assert harness.difference(queries.QUERIES[name](work, SF), con, queries.ORACLES[name]) == ""
-
-
 def test_lines_near_and_far_from_the_threshold(docs):
     rule = lines.Spread(sites=8)
     rows = [(i, f"own {i}\nfooter\n  {'edge' if i % 40 < 7 else 'wide'} \n\nshort", f"s{i % 40}") for i in range(200)] + [(900, None, None), (901, "", None)]
