@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .frames import Batches, shuffle_width, stored, text_of
-from .words import U64, Texts, mix, pieces
+from .words import U64, Texts, mix, pieces, release
 
 ORDERS = 64
 
@@ -223,6 +223,7 @@ def _units(table: pa.Table, rule: Join) -> Batches:
         part = table.slice(edges[i], edges[j] - edges[i]).combine_chunks()
         yield from _exact(part, edges[i : j + 1] - edges[i], rule)
         i = j
+    release()
 
 
 def _exact(part: pa.Table, edges: np.ndarray, rule: Join) -> Batches:
@@ -245,14 +246,19 @@ def _exact(part: pa.Table, edges: np.ndarray, rule: Join) -> Batches:
         entries = np.concatenate([token[first[r] : first[r + 1]] for r in rows])
         of = np.repeat(np.arange(n), size[rows])
         common = shared_counts(of, entries, n)
-        total = size[rows].astype(np.float64)
-        union = total[:, None] + total[None, :] - common
-        link = common >= rule.threshold * union - 1e-9
-        np.fill_diagonal(link, False)
+        total, weigh = size[rows].astype(np.float64), copies[rows].astype(np.float64)
         parts = block[rows]
-        if cross[a]:
-            link &= parts[:, None] != parts[None, :]
-        counted = link @ copies[rows].astype(np.float64)
+        link, counted = np.zeros((n, n), bool), np.zeros(n)
+        # a few hundred rows at a time, so that only counts and links are held whole
+        for at in range(0, n, 256):
+            here = slice(at, at + 256)
+            union = total[here, None] + total[None, :] - common[here]
+            strip = common[here] >= rule.threshold * union - 1e-9
+            if cross[a]:
+                strip &= parts[here, None] != parts[None, :]
+            np.fill_diagonal(strip[:, at:], False)
+            link[here] = strip
+            counted[here] = strip @ weigh
         some = np.flatnonzero(counted > 0)
         left.append(wanted[rows[some]])
         right.append(np.zeros(len(some), np.int64))

@@ -8,6 +8,7 @@ Hashes have 64 bits and depend on the content alone.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,19 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError, TypeError):
+    _trim = None
+
+
+def release() -> None:
+    """Give freed memory back to the system; workers live on between tasks and would keep it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values (splitmix64)."""
     x = x + U64(0x9E3779B97F4A7C15)
@@ -93,6 +107,12 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def lowered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``flat`` with A-Z in lower case."""
+    data, offsets = flat(texts)
+    return data + (((data >= 65) & (data <= 90)).astype(np.uint8) << 5), offsets
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``limit`` bytes of ``column`` each."""
     if not batch.num_rows:
@@ -110,10 +130,7 @@ class Texts:
     """The words of some texts: ``hash`` of each, ``first`` word of each text (n + 1 entries)."""
 
     def __init__(self, texts: pa.Array, lower: bool = False):
-        data, offsets = flat(texts)
-        if lower:
-            upper = (data >= 65) & (data <= 90)
-            data = data + (upper.astype(np.uint8) << 5)
+        data, offsets = lowered(texts) if lower else flat(texts)
         self.data, self.offsets, self.n = data, offsets, len(offsets) - 1
         space = SPACE[data]
         self.space = space
