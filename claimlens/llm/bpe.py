@@ -25,7 +25,7 @@ from .words import BYTE_BASE, BYTE_VALUE, U64, Powers, flat, mix, pieces, span_h
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # entries of a worker's piece table; it is emptied when full
-CACHE_PIECES = 500_000
+CACHE_PIECES = 200_000
 # longer pieces are encoded by themselves
 LONG_PIECE = 48
 MEMO = 1 << 20
