@@ -78,7 +78,8 @@ def remove_boilerplate(docs: DataFrame, rule: Spread = Spread()) -> DataFrame:
     Texts are not exploded into the result: only the positions to remove are joined
     back, so lines that stay never leave their row.
     """
-    lines = exploded(docs)
+    # the lines are cut and hashed once and read three times
+    lines = stored(exploded(docs))
     spread = stored(site_spread(lines, rule))
     hits = lines.join(spread.select("a", "b"), ["a", "b"])
     if rule.keep_first:
