@@ -187,7 +187,8 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), keep: tuple[str, ...] = ("d
     rows = sized.withColumns({"skey": skey, "h": h}).withColumn("range", F.shiftrightunsigned("h", 64 - 12))
     # hash ranges wholly below the boundary are taken, those above are not
     partly = plans.where("extra > 0")
-    per_range = rows.join(partly, ["skey", "size"]).groupBy("skey", "size", "extra", "range").agg(F.count(F.lit(1)).alias("n"))
+    ranges = rows.groupBy("skey", "size", "range").agg(F.count(F.lit(1)).alias("n"))
+    per_range = ranges.join(partly, ["skey", "size"]).select("skey", "size", "extra", "range", "n")
     running = F.sum("n").over(W.partitionBy("skey", "size").orderBy("range").rowsBetween(W.unboundedPreceding, 0))
     edges = (
         per_range.withColumn("upto", running)
@@ -197,17 +198,16 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), keep: tuple[str, ...] = ("d
         .select("skey", "size", F.col("edge.range").alias("edge_range"), F.col("edge.need").alias("need"))
     )
     cuts = stored(plans.join(edges, ["skey", "size"], "left"))
-    placed = rows.join(cuts, ["skey", "size"])
-    on_edge = F.col("range") == F.col("edge_range")
+    # only rows of boundary ranges are ordered, so their join is on the range as well
+    edge = cuts.where("edge_range is not null").withColumnRenamed("edge_range", "range")
     order = [F.col("h"), *[F.col(c).asc_nulls_first() for c in ids]]
-    edge_rows = placed.where(on_edge).withColumn(
-        "extra_copy", (F.row_number().over(W.partitionBy("skey", "size").orderBy(*order)) <= F.col("need")).cast("long")
-    )
-    other = placed.where(~F.coalesce(on_edge, F.lit(False))).withColumn(
-        "extra_copy", F.coalesce((F.col("range") < F.col("edge_range")).cast("long"), F.lit(0).cast("long"))
+    edge_rows = rows.join(edge, ["skey", "size", "range"]).withColumn(
+        "extra_copy", (F.row_number().over(W.partitionBy("skey", "size", "range").orderBy(*order)) <= F.col("need")).cast("long")
     )
+    below = F.coalesce((F.col("range") < F.col("edge_range")).cast("long"), F.lit(0).cast("long"))
+    other = rows.join(cuts, ["skey", "size"]).where("edge_range is null or range <> edge_range").withColumn("extra_copy", below)
     copies = F.col("passes") + F.col("extra_copy")
-    chosen = edge_rows.unionByName(other).select(*ids, "source", "size", copies.alias("copies"))
+    chosen = edge_rows.select(*ids, "source", "size", copies.alias("copies")).unionByName(other.select(*ids, "source", "size", copies.alias("copies")))
     return chosen.join(targets.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).select(
         *ids, "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
     )
@@ -226,7 +226,7 @@ def repeat_by_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     chosen = mix_documents(docs, mix, keep=("doc_id",)).where("copies > 0")
     by_id = chosen.groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies")).withColumnRenamed("doc_id", "__id")
     return (
-        docs.join(by_id, F.col("doc_id").eqNullSafe(F.col("__id")))
+        docs.join(by_id.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")))
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         .select(*docs.columns)
     )
