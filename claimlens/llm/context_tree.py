@@ -17,12 +17,13 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .frames import Batches, shuffle_width, stored, text_of
-from .words import U64, Texts, mix, pieces
+from .words import U64, Texts, lowered, mix, pieces, release
 
 # no UTF-8 text holds this byte: it stands before the first and after the last one
 EDGE = 0xFF
@@ -31,13 +32,15 @@ END_TOKEN = int(mix(np.arange(11, 12, dtype=U64))[0].view(np.int64))
 WORD, GRAM = 0, 1
 # contexts with their byte that one task of the tree works on
 GROUP_GRAMS = 200_000
+# texts of a block are worked through in pieces of about this many bytes
+PART_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
 class Scoring:
     """Texts are scored in blocks of about ``block_bytes``; each block fetches the numbers of its own words and contexts."""
 
-    block_bytes: int = 48 << 20
+    block_bytes: int = 24 << 20
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -60,18 +63,24 @@ def weigh(own: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return weighted, np.exp(own - math.log(2) - weighted)
 
 
-def symbols(t: Texts) -> tuple[np.ndarray, np.ndarray]:
+def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(context and byte as one number, first symbol of each text): every byte of every text, then the edge."""
-    n, pad = t.n, DEPTH
-    first = t.offsets + np.arange(n + 1)
-    stream = np.full(len(t.data) + n * (pad + 1), EDGE, U64)
-    owner_shift = np.repeat((np.arange(n) + 1) * pad + np.arange(n), np.diff(t.offsets))
-    stream[np.arange(len(t.data)) + owner_shift] = t.data
-    at = np.arange(first[-1]) + np.repeat((np.arange(n) + 1) * pad, np.diff(first))
-    key = np.zeros(len(at), U64)
-    for back in range(pad, -1, -1):
-        key = (key << U64(8)) | stream[at - back]
-    return key, first
+    n = len(offsets) - 1
+    first = offsets + np.arange(n + 1)
+    # each text stands behind DEPTH edges and before one more
+    stream = np.full(len(data) + n * (DEPTH + 1), EDGE, np.uint8)
+    place = np.ones(len(stream), bool)
+    begin = offsets[:-1] + np.arange(n) * (DEPTH + 1)
+    for k in range(DEPTH):
+        place[begin + k] = False
+    symbol = np.flatnonzero(place)
+    place[offsets[1:] + np.arange(1, n + 1) * (DEPTH + 1) - 1] = False
+    stream[place] = data
+    wide = np.zeros(len(stream), U64)
+    for back in range(DEPTH, -1, -1):
+        wide <<= U64(8)
+        wide[back:] |= stream[: len(stream) - back]
+    return wide[symbol], first
 
 
 class Branch:
@@ -164,10 +173,10 @@ def model(grams: DataFrame) -> DataFrame:
 def _gram_counts(batches: Batches) -> Batches:
     for batch in batches:
         for piece in pieces(batch, "text"):
-            t = Texts(piece.column("text"), lower=True)
-            key, first = symbols(t)
+            key, first = symbols(*lowered(piece.column("text")))
             tally = _Tally()
             tally.add(key, np.repeat(piece.column("train").to_numpy(zero_copy_only=False), np.diff(first)))
+            release()
             for value, n in tally.parts:
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], names=["key", "n"])
 
@@ -182,7 +191,7 @@ class _Tally:
         value, n = np.unique(key[train], return_counts=True)
         other = np.unique(key[~train])
         self.parts += [(value, n), (other, np.zeros(len(other), np.int64))]
-        if len(self.parts) > 16:
+        if len(self.parts) > 8:
             self.parts = [self.merged()]
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
@@ -197,24 +206,26 @@ class Lookup:
         self.keys = keys
         self.tables: list[np.ndarray] = []
         left = np.arange(len(keys))
-        self.bits = max(8, int(2 * len(keys)).bit_length())
         while len(left) > 64 and len(self.tables) < 12:
-            table = np.zeros(1 << self.bits, np.int32)
-            slot = self._slot(keys[left], len(self.tables))
+            # later tables hold what is left, so they get smaller
+            table = np.zeros(1 << max(8, int(2 * len(left)).bit_length()), np.int32)
+            slot = self._slot(keys[left], len(self.tables), len(table))
             table[slot] = left
             self.tables.append(table)
             left = left[table[slot] != left]
         self.rest = left
 
-    def _slot(self, keys: np.ndarray, level: int) -> np.ndarray:
-        return ((keys.view(U64) * U64((0x9E3779B97F4A7C15 + (level << 33)) | 1)) >> U64(64 - self.bits)).astype(np.int64)
+    @staticmethod
+    def _slot(keys: np.ndarray, level: int, size: int) -> np.ndarray:
+        mixed = keys.view(U64) * U64((0x9E3779B97F4A7C15 + (level << 33)) | 1)
+        return (mixed >> U64(65 - size.bit_length())).astype(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         open_ = np.arange(len(keys))
         for level, table in enumerate(self.tables):
             asked = keys[open_]
-            place = table[self._slot(asked, level)]
+            place = table[self._slot(asked, level, len(table))]
             out[open_] = place
             open_ = open_[self.keys[place] != asked]
             if not len(open_):
@@ -233,35 +244,36 @@ def _tokens(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def _wanted(batches: Batches) -> Batches:
-    """The distinct words and contexts of each block (rows of a block stand together)."""
-    block, words, grams = None, _Tally(), _Tally()
+def _wanted(batches: Batches, kind: int) -> Batches:
+    """The distinct words, or contexts, of each block (rows of a block stand together)."""
+    block, tally = None, _Tally()
 
     def flush() -> Batches:
-        for kind, tally in ((WORD, words), (GRAM, grams)):
-            value, n = tally.merged()
-            for at in range(0, len(value), 1 << 17):
-                v, c = value[at : at + (1 << 17)], n[at : at + (1 << 17)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(v), block, np.int64)), pa.array(np.full(len(v), kind, np.int32)), pa.array(v.view(np.int64)), pa.array(c)],
-                    names=["block", "kind", "key", "n"],
-                )
+        value, n = tally.merged()
+        tally.parts.clear()
+        release()
+        for at in range(0, len(value), 1 << 17):
+            v, c = value[at : at + (1 << 17)], n[at : at + (1 << 17)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(v), block, np.int64)), pa.array(np.full(len(v), kind, np.int32)), pa.array(v.view(np.int64)), pa.array(c)],
+                names=["block", "kind", "key", "n"],
+            )
 
     for batch in batches:
-        for piece in pieces(batch, "text"):
+        for piece in pieces(batch, "text", PART_BYTES):
             numbers = piece.column("block").to_numpy()
             for b in np.unique(numbers):
                 if block is not None and b != block:
                     yield from flush()
-                    words, grams = _Tally(), _Tally()
+                    tally = _Tally()
                 block = b
                 part = piece.slice(int(np.searchsorted(numbers, b)), int((numbers == b).sum()))
-                train = part.column("train").to_numpy(zero_copy_only=False)
-                t = Texts(part.column("text"), lower=True)
-                token, first = _tokens(t)
-                words.add(token, np.repeat(train, np.diff(first)))
-                key, first = symbols(t)
-                grams.add(key, np.zeros(len(key), bool))
+                if kind == WORD:
+                    token, first = _tokens(Texts(part.column("text"), lower=True))
+                    tally.add(token, np.repeat(part.column("train").to_numpy(zero_copy_only=False), np.diff(first)))
+                else:
+                    key, _ = symbols(*lowered(part.column("text")))
+                    tally.add(key, np.zeros(len(key), bool))
     if block is not None:
         yield from flush()
 
@@ -273,23 +285,24 @@ RESULT = (
 
 
 def _score_block(docs: pa.Table, numbers: pa.Table) -> pa.Table:
-    kind = numbers.column("kind").to_numpy()
-    key, value = numbers.column("key").to_numpy(), numbers.column("value").to_numpy()
-    word, gram = np.flatnonzero(kind == WORD), np.flatnonzero(kind == GRAM)
-    word_count, gram_log = value[word], value[gram]
-    word_at, gram_at = Lookup(key[word]), Lookup(key[gram])
+    words = numbers.filter(pc.equal(numbers.column("kind"), WORD))
+    grams = numbers.filter(pc.equal(numbers.column("kind"), GRAM))
+    word_count, gram_log = words.column("value").to_numpy(), grams.column("value").to_numpy()
+    word_at, gram_at = Lookup(words.column("key").to_numpy()), Lookup(grams.column("key").to_numpy())
     # each word is counted as known by the first block that asks for it
-    first_words = int(numbers.column("first").to_numpy()[word][word_count > 0].sum())
+    first_words = int(words.column("first").to_numpy()[word_count > 0].sum())
+    del numbers, words, grams
+    release()
     out = []
     for batch in docs.to_batches():
-        for piece in pieces(batch, "text"):
+        for piece in pieces(batch, "text", PART_BYTES):
             t = Texts(piece.column("text"), lower=True)
             token, first = _tokens(t)
             count = word_count[word_at(token)]
             sums = [np.zeros(len(token) + 1) for _ in range(2)]
             np.cumsum(count > 0, out=sums[0][1:])
             np.cumsum(np.log10(count + 1), out=sums[1][1:])
-            symbol, edge = symbols(t)
+            symbol, edge = symbols(t.data, t.offsets)
             logs = np.zeros(len(symbol) + 1)
             np.cumsum(gram_log[gram_at(symbol.view(np.int64))], out=logs[1:])
             train = piece.column("train").to_numpy(zero_copy_only=False)
@@ -310,7 +323,10 @@ def _score_block(docs: pa.Table, numbers: pa.Table) -> pa.Table:
                     names=["doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "known_logs", "score", "train_tokens", "first_words"],
                 )
             )
-    return pa.concat_tables(out)
+    result = pa.concat_tables(out)
+    del word_at, gram_at, word_count, gram_log, out, docs
+    release()
+    return result
 
 
 def score_documents(docs: DataFrame, held_out: Column, scoring: Scoring = Scoring()) -> DataFrame:
@@ -337,16 +353,20 @@ def score_documents(docs: DataFrame, held_out: Column, scoring: Scoring = Scorin
     )
     logs = stored(model(counts))
     placed = rows.withColumn("block", F.pmod("h", F.lit(blocks))).select("block", "doc_id", "text", "train").repartition(width, "block")
-    wanted = placed.sortWithinPartitions("block").mapInArrow(_wanted, "block long, kind int, key long, n long")
+    together = placed.sortWithinPartitions("block")
+
+    def wanted(kind: int) -> DataFrame:
+        return together.mapInArrow(lambda batches: _wanted(batches, kind), "block long, kind int, key long, n long")
+
     all_blocks = W.partitionBy("key")
-    known = wanted.where(F.col("kind") == WORD).select(
+    known = wanted(WORD).select(
         "block",
         "kind",
         "key",
         F.sum("n").over(all_blocks).cast("double").alias("value"),
         (F.row_number().over(all_blocks.orderBy("block")) == 1).cast("long").alias("first"),
     )
-    likely = wanted.where(F.col("kind") == GRAM).join(logs, "key").select("block", "kind", "key", "value", F.lit(0).cast("long").alias("first"))
+    likely = wanted(GRAM).join(logs.hint("merge"), "key").select("block", "kind", "key", "value", F.lit(0).cast("long").alias("first"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = stored(
         placed.groupBy("block").cogroup(known.unionByName(likely).groupBy("block")).applyInArrow(_score_block, RESULT.format(id=id_type))
