@@ -34,6 +34,8 @@ WORD, GRAM = 0, 1
 GROUP_GRAMS = 200_000
 # texts of a block are worked through in pieces of about this many bytes
 PART_BYTES = 1 << 19
+# distinct contexts that a task holds before it sends them on
+HELD_GRAMS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -171,14 +173,23 @@ def model(grams: DataFrame) -> DataFrame:
 
 
 def _gram_counts(batches: Batches) -> Batches:
+    """Training counts of contexts with their byte, combined over many small pieces."""
+    tally = _Tally()
+
+    def flush() -> Batches:
+        value, n = tally.merged()
+        tally.parts.clear()
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], names=["key", "n"])
+
     for batch in batches:
-        for piece in pieces(batch, "text"):
+        for piece in pieces(batch, "text", PART_BYTES):
             key, first = symbols(*lowered(piece.column("text")))
-            tally = _Tally()
             tally.add(key, np.repeat(piece.column("train").to_numpy(zero_copy_only=False), np.diff(first)))
-            release()
-            for value, n in tally.parts:
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n)], names=["key", "n"])
+            if sum(len(value) for value, _ in tally.parts) > HELD_GRAMS:
+                yield from flush()
+    if tally.parts:
+        yield from flush()
 
 
 class _Tally:
