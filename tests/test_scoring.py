@@ -103,7 +103,8 @@ def test_listing_and_stats(risk):
     assert all(r["risk_score"] >= 40 for r in reports.top_risk(risk, min_score=40).collect())
     assert reports.top_risk(risk, specialty="card.*", literal=True).count() == 0
     with pytest.raises(ValueError):
-        reports.top_risk(risk, limit=501)
+        reports.top_risk(risk, limit=0)
+    assert reports.top_risk(risk, limit=501).count() == 3
     s = reports.dataset_stats(risk).first()
     assert (s["total_providers"], s["total_excluded"]) == (3, 1)
     hist = {r["label"]: r["providers"] for r in reports.score_histogram(risk).collect()}
@@ -133,9 +134,9 @@ def test_rule_narrative_and_peers(spark):
         " throughput_utilization double, total_services double",
     )
     text = explain.rule_narrative(df).first()["narrative"].split("\n\n")
-    assert text[0].startswith("🔴 **Critical risk (85/100).**")
-    assert text[2] == "- Total Services is **3.3 standard deviations above** the specialty mean."
-    assert text[3].startswith("- Avg Charge is **2.5 standard deviations below**")
+    assert text[0].startswith("**Score 85 of 100: far outside the usual range.**")
+    assert text[2] == "- Total Services: **3.3 deviations above** the mean of its peers."
+    assert text[3].startswith("- Avg Charge: **2.5 deviations below**")
     assert "150%" in text[4] and len(text) == 5
     peer = explain.peer_comparison(df).first()
     assert (peer["metric"], peer["value_text"], peer["zscore_text"]) == ("Total Services", "10.00", "3.26")
