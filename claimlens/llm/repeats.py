@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .frames import Batches, shuffle_width, text_of
-from .words import U64, Texts, mix, pieces
+from .words import U64, Texts, mix, pieces, run_hash
 
 LOW = -(1 << 63)
 
@@ -159,8 +159,8 @@ def _cells(batches: Batches, rule: Repeats) -> Batches:
             opens[1:] = (start[1:] != start[:-1] + 1) | (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1]) | big[1:]
             head = np.flatnonzero(opens)
             size = np.diff(np.append(head, len(use)))
-            # content of a run: its first and last window and its length
-            content = mix(path[head] ^ mix(path[head + size - 1] + size.astype(U64)))
+            # content of a run: all its windows
+            content = run_hash(path, head, head + size)
             _, first, back, count = np.unique(content, return_index=True, return_inverse=True, return_counts=True)
             known = count[back] > 1
             goes = np.zeros(len(head), bool)

@@ -192,6 +192,12 @@ def grams(hashes: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarra
     return start, span_hash(prefix, down, start, start + length)
 
 
+def run_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of every run values[start:end], from all its values."""
+    prefix, down = spans(values, _word_powers)
+    return span_hash(prefix, down, start, end)
+
+
 def per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many flags are set in each text."""
     running = np.zeros(len(flags) + 1, np.int64)

@@ -13,6 +13,7 @@ import tiktoken
 from llm_rows import LONG, ODD
 
 from claimlens.llm import bpe, fingerprint, queries, repeats, repetition
+from claimlens.llm.words import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ROWS = ODD + [(10 + i, f"alpha beta {i % 3} gamma delta epsilon zeta {i % 2} eta theta iota " * (1 + i % 4)) for i in range(30)]
@@ -113,6 +114,30 @@ def test_repeated_windows(docs, group):
     assert repeats.repeated_words(docs([])).collect() == []
 
 
+def brute_windows(rows):
+    words = [(d, WORD.findall(t or "")) for d, t in rows]
+    count = Counter(tuple(w[i : i + 35]) for _, w in words for i in range(len(w) - 34))
+    for d, w in words:
+        gone = {j for i in range(len(w) - 34) if count[tuple(w[i : i + 35])] > 1 for j in range(i, i + 35)}
+        yield str(d), len(w), len(gone), " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def test_an_edit_in_the_middle_of_a_recurring_phrase(docs):
+    # the phrase of least hash among many is the anchor of all windows that hold it
+    phrases = [" ".join(f"a{i}b{j}" for j in range(8)) for i in range(30000)]
+    phrase = phrases[int(Texts(pa.array(phrases)).grams(8)[1].argmin())]
+    rows, parts = [], []
+    for k in range(24):
+        lines = [f"{phrase} field{n}" for n in range(60)]
+        lines[30] = f"{phrase} own{k}"
+        rows.append((k, " ".join(lines)))
+        parts.append((500 + k, " ".join(lines[28:33])))
+    # the middle of some copies stands in a third text too
+    rows += parts[:6]
+    got = repeats.repeated_words(docs(rows)).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_text) for r in got) == sorted(brute_windows(rows))
+
+
 def encoding():
     lines = queries.vocabulary()
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(lines), special_tokens={})
