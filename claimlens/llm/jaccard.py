@@ -294,14 +294,16 @@ def spanning(link: np.ndarray) -> np.ndarray:
 
 
 def classes(docs: DataFrame, rule: Join = Join()) -> DataFrame:
-    """doc_id, k1, class_id, n_links of every row.
+    """doc_id, k1, root, class_id, n_links of every row.
 
     Rows are linked when the Jaccard similarity of their sets of ``rule.length``-word
     n-grams is at least ``rule.threshold``; a shorter text is one n-gram of its own,
     and texts without words (null included) are equal to each other. ``n_links``
     counts linked rows, copies included; ``class_id`` is the least doc_id of all rows
-    that are connected by links (null if none has one). ``k1`` names a row by id and
-    text. An empty table gives no rows.
+    that are connected by links (null if none has one). ``root`` names a class, never
+    null: unlike texts without an id, or with one repeated id, share their class_id
+    but not their root. ``k1`` names a row by id and text. An empty table gives no
+    rows.
 
     Equal sets are folded first, so copies cost nothing later. Buckets are counted,
     never gathered; a set travels to as many tasks as its group has blocks.
@@ -347,15 +349,15 @@ def classes(docs: DataFrame, rule: Join = Join()) -> DataFrame:
     named = named.withColumn("root", F.coalesce("root", "name"))
     ids = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
     info = stored(
-        named.join(ids, "root").select("name", "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
+        named.join(ids, "root").select("name", "root", "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
     )
-    return sketch.select("doc_id", "k1", "name").join(info, "name").select("doc_id", "k1", "class_id", "n_links")
+    return sketch.select("doc_id", "k1", "name").join(info, "name").select("doc_id", "k1", "root", "class_id", "n_links")
 
 
 def one_per_class(docs: DataFrame, rule: Join = Join()) -> DataFrame:
     """``docs`` with one row of each class, the one of the least id (then of the least row key)."""
     marked = classes(docs, rule)
-    keys = marked.groupBy("class_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1")).alias("best"))
+    keys = marked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "k1")).alias("best"))
     kept = keys.select(F.col("best.k1").alias("__k1"))
     here = docs.withColumn("__here", F.xxhash64("doc_id", text_of()))
     return here.join(kept.hint("merge"), F.col("__here") == F.col("__k1")).dropDuplicates(["__here"]).select(*docs.columns)

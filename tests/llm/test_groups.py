@@ -94,6 +94,14 @@ def test_one_row_of_each_class_stays(docs):
     assert jaccard.one_per_class(docs([])).count() == 0
 
 
+def test_unlike_texts_of_one_id_or_none_all_stay(docs):
+    rows = [(None, f"n{i} a b c d e f") for i in range(5)] + [(None, "n0 a b c d e f"), (4, "one text of five words"), (4, "and quite another text here"), (4, None), (None, " ")]
+    kept = sorted((str(r.doc_id), str(r.text)) for r in jaccard.one_per_class(docs(rows)).collect())
+    assert kept == sorted({(str(d), str(t)) for d, t in rows} - {("None", " ")})
+    got = jaccard.classes(docs(rows)).collect()
+    assert len({r.root for r in got}) == 8 and None not in {r.root for r in got}
+
+
 def test_lines_near_and_far_from_the_threshold(docs):
     rule = lines.Spread(sites=8)
     rows = [(i, f"own {i}\nfooter\n  {'edge' if i % 40 < 7 else 'wide'} \n\nshort", f"s{i % 40}") for i in range(200)] + [(900, None, None), (901, "", None)]
