@@ -221,12 +221,22 @@ def skey_of(source: Column) -> Column:
 def repeat_by_mix(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them; rows not taken go.
 
-    ``doc_id`` names a row; rows of equal id get copies in any order.
+    A row is named by id, source and text. The copies of rows equal in these are dealt
+    evenly among them, so the words are those of the plan whatever the ids.
     """
-    chosen = mix_documents(docs, mix, keep=("doc_id",)).where("copies > 0")
-    by_id = chosen.groupBy("doc_id").agg(F.max("copies").cast("int").alias("__copies")).withColumnRenamed("doc_id", "__id")
-    return (
-        docs.join(by_id.hint("merge"), F.col("doc_id").eqNullSafe(F.col("__id")))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*docs.columns)
+    named = [c for name in ("doc_id", "source", "text") for c in (F.col(name).isNull(), F.col(name))]
+    keyed = docs.withColumn("__key", F.xxhash64(*named))
+    chosen = mix_documents(keyed, mix, keep=("doc_id", "__key"))
+    dealt = stored(
+        chosen.groupBy("__key").agg(F.sum("copies").alias("__total"), F.count(F.lit(1)).alias("__rows")).where("__total > 0")
+        .select("__key", F.floor(F.col("__total") / F.col("__rows")).cast("int").alias("__each"), (F.col("__total") % F.col("__rows")).alias("__more"))
     )
+    out = keyed.join(dealt.where("__more = 0").hint("merge"), "__key").withColumn("__copies", F.col("__each"))
+    uneven = dealt.where("__more > 0")
+    # equal rows on the boundary of the plan only: some of them get one copy more
+    if not uneven.isEmpty():
+        rest = [F.col(c).asc_nulls_first() for c in docs.columns if c not in ("doc_id", "source", "text")]
+        number = F.row_number().over(W.partitionBy("__key").orderBy(*rest or [F.lit(1)]))
+        some = keyed.join(uneven.hint("merge"), "__key").withColumn("__copies", F.col("__each") + (number <= F.col("__more")).cast("int"))
+        out = out.unionByName(some.where("__copies > 0"))
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

@@ -211,6 +211,21 @@ def test_mix_of_nothing(docs):
     assert mixing.repeat_by_mix(rows).columns == rows.columns
 
 
+def test_copies_follow_the_plan_where_ids_are_null_or_repeat(docs):
+    rng = random.Random(6)
+    rows = [(rng.choice([None, 1, i]), " ".join("w" * rng.randint(0, 30)) + f" u{rng.randrange(150)}", rng.choice(["a", "b", "c", None])) for i in range(400)]
+    rows += [(None, "the same row again", "a")] * 50 + [(7, "also the same row", "b")] * 50
+    plan, taken = Counter(), Counter()
+    for r in mixing.mix_documents(docs(rows)).collect():
+        plan[r.source] += r.taken
+    out = mixing.repeat_by_mix(docs(rows)).collect()
+    for r in out:
+        taken[r.source] += len(WORD.findall(r.text))
+    assert taken == plan
+    given = Counter(rows)
+    assert all(n <= 2 * given[k] for k, n in Counter((r.doc_id, r.text, r.source) for r in out).items())
+
+
 def brute_fold(events):
     """Replay the events of one conversation one by one."""
     messages = {}
