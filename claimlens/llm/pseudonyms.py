@@ -232,6 +232,33 @@ def permute_secret(value: Column, key: str, invert: bool = False) -> Column:
     return permute_name(value, key, invert, letters="abcdef")
 
 
+# values that may follow a phone after a space and are no groups of it; an address never is one
+ADDRESS = r"\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
+FOLLOWER = (
+    r"\d{4}-\d\d-\d\d(?!\d)|\d\d[./]\d\d[./]\d{4}(?!\d)|\d{3}-\d\d-\d{4}(?![\d-])"
+    r"|(?:\d{4}[ -]){3}\d{1,7}(?![ -]?\d)|\d{13,19}(?!\d)|\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)"
+)
+
+# a place up to which a phone has 7 to 15 digits; look-behinds take no counted groups, so it is written out
+DIGIT = r"[ ().-]{0,3}\d"
+FULL = rf"(?<=\+{DIGIT * 7}{f'(?:{DIGIT}' * 8}{')?' * 8})"
+
+
+def free_phone(not_next: str) -> str:
+    """Groups after a country code, as many as have 7 to 15 digits in all and do not begin ``not_next`` after a space."""
+    return (
+        r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}"
+        rf"(?:(?: (?!{not_next})|[.-]?)\d{{2,4}}){{1,3}}(?!\d){FULL}"
+    )
+
+
+# phones of fixed length (country code 1, or 3 and 4 digits after an area in brackets) end there;
+# others are tried without a value that follows, then with it
+PHONE = (
+    r"(?<![\w+])\+(?:1[ .-]?(?:\(\d{3}\)|\d{3})|\d{1,3}[ .-]?\(\d{1,4}\))[ .-]?\d{3}[ .-]?\d{4}(?![.-]?\d)"
+    rf"|{free_phone(f'{ADDRESS}|{FOLLOWER}')}|{free_phone(ADDRESS)}"
+)
+
 # candidate pieces of a text, longest kinds first; what fails its validation stays as it is
 FIND = (
     r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
@@ -240,7 +267,7 @@ FIND = (
     r"|(?<!\d)\d{4}-\d\d-\d\d(?!\d)|(?<!\d)\d\d[./]\d\d[./]\d{4}(?!\d)"
     r"|(?<![\d-])\d{3}-\d\d-\d{4}(?![\d-])"
     r"|(?<!\d)(?:\d{4}[ -]){3}\d{1,7}(?!\d)|(?<!\d)\d{13,19}(?!\d)"
-    r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)"
+    rf"|{PHONE}"
     r"|(?<![\w(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d)"
 )
 

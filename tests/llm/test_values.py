@@ -55,6 +55,29 @@ def test_values_move_inside_their_format_and_come_back(docs):
     assert all(a.text != b.text for a, b in zip(out, other))
 
 
+FOLLOWED = ["190.137.223.204", "5.6.7.8", "2024", "17", "+1 (212) 555-0100", "(212) 555-0100", "415-555-2671", "31.12.1999", "2024-02-29", "665-01-0001", "4539 5787 6362 1486"]
+
+
+def test_a_phone_ends_where_the_next_value_begins(docs):
+    phones = ["+1 (826) 555-4081", "+1 826 555 4081", "+18265554081", "+44 20 7946 0958", "+44 (20) 7946 0958", "+49 (301) 555-4081"]
+    rows = [(100 * i + j, f"call {p} {v} now") for i, p in enumerate(phones) for j, v in enumerate([*FOLLOWED, "at once"]) if (v, p[:3]) != ("17", "+44")]
+    out = pseudonyms.pseudonymize(docs(rows), "key").orderBy("doc_id").collect()
+    linked = defaultdict(set)
+    for r, (d, text) in zip(out, rows):
+        p, v = phones[d // 100], [*FOLLOWED, "at once"][d % 100]
+        want = [p] + [v] * (v not in ("2024", "17", "at once"))
+        assert [x.before for x in r.pieces] == want, text
+        assert all(x.before not in r.text for x in r.pieces), text
+        linked[p].add(r.pieces[0].after)
+    assert all(len(after) == 1 for after in linked.values())
+    back = pseudonyms.pseudonymize(docs([(r.doc_id, r.text) for r in out]), "key", invert=True).orderBy("doc_id").collect()
+    assert [r.text for r in back] == [t for _, t in rows]
+    # a group of unknown length stays whole
+    whole = ["+49 30 1234 5678", "+33 12.34.56.78", "+1-212-555-1234-5678", "+91 98765 43210"]
+    got = pseudonyms.pseudonymize(docs([(i, p) for i, p in enumerate(whole)]), "key").orderBy("doc_id").collect()
+    assert [[x.before for x in r.pieces] for r in got] == [[p] for p in whole]
+
+
 def test_values_that_fail_validation_and_odd_rows_stay(docs):
     rows = [(100 + i, f"x {v} y") for i, v in enumerate(CLEAN)] + [(d, t) for d, t in ODD]
     out = pseudonyms.pseudonymize(docs(rows), "key").collect()
