@@ -1,12 +1,11 @@
-"""Substring dedup over a prefix-partitioned, sparse suffix tree of words.
-
-Only suffixes that start at an anchor enter the tree. An anchor is the 8-word gram
-with the least hash among the grams of some 35-word window, so equal windows hold
-equal anchors, and the suffixes under one anchor share its 8 words as their prefix.
-Prefixes are counted first; one that occurs once is a leaf and drops out. The others
-split the suffixes into groups: by the anchor, or, where that prefix is too frequent
-for one task, by the whole window. Inside a group a window met twice is an internal
-node at depth 35 or more; maximal repeats are the unions of such windows.
+"""Substring dedup by hashes of word windows under minimiser anchors.
+
+An anchor is the 8-word gram with the least hash among the grams of some 35-word
+window, so equal windows hold equal anchors. Anchors are counted first; windows under
+one that occurs once cannot repeat and drop out. The others are grouped by the anchor,
+or, where it is too frequent for one task, by the whole window. Inside a group a
+window hash met twice is a repeat. No suffix tree is built: what is removed depends
+only on which windows occur twice.
 """
 
 from __future__ import annotations
