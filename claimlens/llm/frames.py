@@ -22,7 +22,16 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{work_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that no plan reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_of(column: str = "text") -> Column:
@@ -46,4 +55,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["arrow_map", "materialize", "shuffle_width", "stored", "text_of", "work_folder"]
+__all__ = ["arrow_map", "discard", "materialize", "shuffle_width", "stored", "text_of", "work_folder"]
