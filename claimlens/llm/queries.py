@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, context_tree, fingerprint, jaccard, lines, mixing, pseudonyms, repeats, repetition
+from . import bpe, chat, context_tree, fingerprint, infill, jaccard, lines, mixing, pseudonyms, repeats, repetition, vector_codes
 
 QUERIES = {}
 ORACLES = {}
@@ -172,3 +172,81 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     return chat.digest(chat.format_conversations(chat.conversation_events(rows.unionByName(odd))))
+
+
+def op11_sql(rule: vector_codes.Codes) -> str:
+    """Every round spelt out: assignments by the least (distance, entry), then floors of the means."""
+    steps = []
+    for r in range(rule.rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT p.row, p.part, min({{'d': list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': b.entry}}) AS best
+  FROM p JOIN b{r} b USING (part) GROUP BY ALL),""")
+        if r < rule.rounds:
+            steps.append(f"""
+m{r} AS (
+  SELECT part, entry, list(total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END ORDER BY i) AS v FROM (
+    SELECT part, best.e AS entry, i, sum(v[i])::BIGINT AS total, count(*) AS n
+    FROM a{r} JOIN p USING (row, part), LATERAL (SELECT unnest(range(1, len(v) + 1)) AS i) GROUP BY ALL) GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN m{r} m USING (part, entry)),""")
+    last = rule.rounds
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, x) - 1 AS row, vec_id, label, x FROM (
+    SELECT vec_id, label, list_transform(embedding, lambda c: floor({rule.scale} * c::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)),
+p AS MATERIALIZED (
+  SELECT row, part, x[(len(x) // {rule.parts}) * part + 1 : (len(x) // {rule.parts}) * (part + 1)] AS v
+  FROM k, (SELECT unnest(range({rule.parts})) AS part)),
+b0 AS (SELECT part, row AS entry, v FROM p WHERE row < {rule.entries}),{"".join(steps)}
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{last}),
+c AS (
+  SELECT row, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{last} GROUP BY row),
+l AS (SELECT label, sum(error)::BIGINT AS label_error FROM c JOIN k USING (row) GROUP BY label)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM c JOIN k USING (row) JOIN l ON k.label IS NOT DISTINCT FROM l.label, h
+"""
+
+
+CODES = vector_codes.Codes()
+
+
+@query("op11_vector_codes", op11_sql(CODES))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes and errors of all usable vectors."""
+    return vector_codes.code_report(table(spark, sf_dir, "embeddings"), CODES)
+
+
+OP13_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents),
+h AS (
+  SELECT *, ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2,
+    ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4 FROM t),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || text[1:a] || '<S>' || text[b + 1:] || '<M>' || text[a + 1:b]
+    ELSE '<S>' || text[b + 1:] || '<P>' || text[1:a] || '<M>' || text[a + 1:b] END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM f
+"""
+
+
+@query("op13_fill_in_middle", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all rearranged texts and of the texts rebuilt from them."""
+    out = infill.fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
