@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, context_tree, fingerprint, infill, jaccard, lines, mixing, pseudonyms, repeats, repetition, vector_codes
+from . import bpe, chat, context_tree, fingerprint, infill, jaccard, lines, minhash, mixing, pseudonyms, repeats, repetition, vector_codes
 
 QUERIES = {}
 ORACLES = {}
@@ -217,6 +217,31 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_report(table(spark, sf_dir, "embeddings"), CODES)
 
 
+OP12_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+g AS MATERIALIZED (
+  SELECT DISTINCT doc_id, md5_number(array_to_string(ws[i : i + 1], ' ')) AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM g GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM g a JOIN g b USING (gram) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * shared >= 80 * (a.size + b.size - shared)),
+r AS (SELECT doc_id, doc_id AS reached FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.reached),
+m AS (SELECT doc_id, min(reached) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN m USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op12_minhash", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document, and whether it stays."""
+    return minhash.near_components(table(spark, sf_dir, "documents"))
+
+
 OP13_SQL = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
