@@ -36,6 +36,10 @@ def full_model(spark, d):
     return _models[key]
 
 
+def forget_models() -> None:
+    _models.clear()
+
+
 @query("iforest_scores")
 def iforest_scores(spark, d):
     rows = forest.isolation_forest_scores(dataset(spark, d), SQL_FEATURES)
