@@ -39,6 +39,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``work`` on every record batch, without a shuffle."""
 
@@ -55,4 +63,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["arrow_map", "discard", "materialize", "shuffle_width", "stored", "text_of", "work_folder"]
+__all__ = ["arrow_map", "discard", "free_name", "materialize", "shuffle_width", "stored", "text_of", "work_folder"]

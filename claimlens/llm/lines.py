@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .frames import stored, text_of
+from .frames import free_name, stored, text_of
 
 
 @dataclass(frozen=True)
@@ -67,9 +67,10 @@ def exploded(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_boilerplate(docs: DataFrame, rule: Spread = Spread()) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``; plus ``removed_lines``.
+def remove_boilerplate(docs: DataFrame, rule: Spread = Spread(), removed: str = "removed_lines") -> DataFrame:
+    """``docs`` with boilerplate lines taken out of ``text``; plus their number as ``removed``.
 
+    A column of ``docs`` that has this name is replaced, any other passes through.
     ``source`` is the site. The first occurrence of a boilerplate line, by doc_id
     (null first) and position, stays if ``rule.keep_first``; equal rows of equal id
     keep it alike. Blank lines stay and do not count. Texts without such lines are
@@ -87,11 +88,15 @@ def remove_boilerplate(docs: DataFrame, rule: Spread = Spread()) -> DataFrame:
         order = F.struct(F.col("doc_id").isNotNull().alias("n"), "doc_id", "row", "at")
         first = hits.groupBy("a", "b").agg(F.min(order).alias("first")).select("a", "b", F.col("first.row").alias("row"), F.col("first.at").alias("at"))
         hits = hits.join(first, ["a", "b", "row", "at"], "left_anti")
-    gone = hits.groupBy("row").agg(F.collect_set("at").alias("__gone")).withColumnRenamed("row", "__row")
+    here, there, at = (free_name(docs, c) for c in ("__here", "__row", "__gone"))
+    gone = hits.groupBy("row").agg(F.collect_set("at").alias(at)).withColumnRenamed("row", there)
     # rows with boilerplate grow with the corpus: a merge join at every size
-    marked = docs.withColumn("__here", F.xxhash64("doc_id", text_of())).join(gone.hint("merge"), F.col("__here") == F.col("__row"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("__gone", i))
+    marked = docs.withColumn(here, F.xxhash64("doc_id", text_of())).join(gone.hint("merge"), F.col(here) == F.col(there), "left")
+    # the places that stay are a set difference, so a text of very many lines takes one sweep
+    cut = F.split("text", "\n", -1)
+    kept = F.transform(F.array(cut), lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), at), lambda i: F.get(ls, i)))
+    left = F.when(F.col(at).isNull(), F.col("text")).otherwise(F.array_join(F.get(kept, F.lit(0)), "\n")).alias("text")
     return marked.select(
-        *[F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text") if c == "text" else F.col(c) for c in docs.columns],
-        F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("removed_lines"),
+        *[left if c == "text" else F.col(f"`{c}`") for c in docs.columns if c.lower() != removed.lower()],
+        F.coalesce(F.size(at), F.lit(0)).cast("long").alias(removed),
     )

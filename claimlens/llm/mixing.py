@@ -2,9 +2,9 @@
 
 Documents are counted by source and exact length. A source's target is met by
 whole passes over it and a remainder; the remainder takes a proportional share of
-every length, and a bounded-knapsack dynamic programme over the remaining
-documents of each length closes the gap. Which documents of a length are taken
-follows from a seeded hash.
+every length, and a bounded-knapsack dynamic programme closes the gap with what is
+left, and with documents that the share had taken. Which documents of a length are
+taken follows from a seeded hash.
 """
 
 from __future__ import annotations
@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 from .frames import arrow_map, materialize, shuffle_width, stored, text_of
 from .words import Texts, pieces
 
-# the gap that the dynamic programme closes exactly, in words
+# words that the dynamic programme is given to fill at first; more while it does not fill them
 PROGRAMME_WORDS = 1 << 14
-# hash ranges per (source, length); only the range on the boundary is ordered
-HASH_RANGES = 4096
+# up to this many choices are listed one by one instead
+FEW_CHOICES = 1 << 16
+# bits of the hash ranges per (source, length); only the range on the boundary is ordered
+RANGE_BITS = 12
 
 
 @dataclass(frozen=True)
@@ -98,63 +100,94 @@ def source_targets(sizes: DataFrame, mix: Mix) -> DataFrame:
     return weighed.select("source", "source_size", F.least(cap.cast("double"), F.lit(level) * F.col("weight")).alias("target"))
 
 
-def fit_budget(length: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come nearest to ``budget`` from below.
-
-    Every length first gives floor(count * budget / total), which leaves less than
-    the sum of all lengths; whole documents, longest first, narrow that to a small
-    gap, and the programme picks the sum closest to the gap from what is left.
-    """
-    total = int((length * count).sum())
-    if budget >= total:
-        return count.copy()
-    take = np.array([c * budget // total for c in count.tolist()], np.int64)
-    left, gap = count - take, budget - int((length * take).sum())
-    for i in np.argsort(-length, kind="stable"):
-        n = min(int(left[i]), max(0, gap - PROGRAMME_WORDS // 2) // int(length[i]))
-        take[i] += n
-        left[i] -= n
-        gap -= n * int(length[i])
-    # used[s]: documents of the current length in the sum s; first[s]: the length that first made s
-    gap = min(gap, 4 * PROGRAMME_WORDS)
-    first = np.full(gap + 1, -1, np.int64)
+def fill(length: np.ndarray, count: np.ndarray, gap: int) -> tuple[np.ndarray, int]:
+    """How many of each length to take for the largest sum up to ``gap``, and that sum."""
+    used = np.zeros(len(length), np.int64)
+    some = np.flatnonzero((count > 0) & (length <= gap))
+    most = np.minimum(count[some], gap // length[some])
+    if np.log2(most + 1.0).sum() <= np.log2(FEW_CHOICES):
+        sums = np.zeros(1, np.int64)
+        for size, n in zip(length[some], most):
+            sums = (sums[:, None] + size * np.arange(n + 1)).ravel()
+        at = int(np.argmax(np.where(sums <= gap, sums, -1)))
+        best = int(sums[at])
+        for i, n in zip(some[::-1], most[::-1]):
+            at, used[i] = divmod(at, int(n) + 1)
+        return used, best
+    # first[s]: the length that first made the sum s; how_many[s]: how often it stands in it
+    first, how_many = np.zeros(gap + 1, np.int32), np.zeros(gap + 1, np.int32)
     reached = np.zeros(gap + 1, bool)
     reached[0] = True
-    how_many = np.zeros(gap + 1, np.int64)
-    for i in np.flatnonzero((left > 0) & (length <= gap)):
-        size, most = int(length[i]), int(left[i])
+    for i, n in zip(some, most):
+        size = int(length[i])
         # along each chain s, s + size, ... the distance to the last sum reached without this length
-        where = np.where(reached, np.arange(gap + 1), -1)
         rows = -(-(gap + 1) // size)
         grid = np.full(rows * size, -1, np.int64)
-        grid[: gap + 1] = where
+        grid[: gap + 1][reached] = np.flatnonzero(reached)
         latest = np.maximum.accumulate(grid.reshape(rows, size), axis=0).reshape(-1)[: gap + 1]
         steps = (np.arange(gap + 1) - latest) // size
-        new = ~reached & (latest >= 0) & (steps <= most)
+        new = np.flatnonzero(~reached & (latest >= 0) & (steps <= n))
         first[new], how_many[new] = i, steps[new]
-        reached |= new
+        reached[new] = True
         if reached[gap]:
             break
-    s = int(np.flatnonzero(reached)[-1])
-    while s:
-        i = int(first[s])
-        take[i] += how_many[s]
-        s -= int(how_many[s]) * int(length[i])
-    return take
+    best = at = int(np.flatnonzero(reached)[-1])
+    while at:
+        i, n = int(first[at]), int(how_many[at])
+        used[i] += n
+        at -= n * int(length[i])
+    return used, best
+
+
+def fit_budget(length: np.ndarray, count: np.ndarray, budget: int) -> np.ndarray:
+    """How many documents of each length to take so that their words come nearest to ``budget`` from below.
+
+    Every length first gives floor(count * budget / total); whole documents, longest
+    first, narrow what that leaves. The shortest documents taken so far are then given
+    back until a window is free, which the programme fills from all that is left. A
+    window that it fills to the last word (of the lengths' common divisor) is the best
+    there is; otherwise the window grows, at last to the whole budget, where the
+    programme has every choice. Its memory is 9 bytes a word of the window.
+    """
+    total = int((length * count).sum())
+    if budget >= total:
+        return count.copy()
+    unit = int(np.gcd.reduce(length))
+    length, budget, total = length // unit, budget // unit, total // unit
+    window = PROGRAMME_WORDS
+    while True:
+        take = np.array([c * budget // total for c in count.tolist()], np.int64)
+        gap = budget - int((length * take).sum())
+        for i in np.argsort(-length, kind="stable"):
+            n = min(int(count[i] - take[i]), max(0, gap - window // 2) // int(length[i]))
+            take[i] += n
+            gap -= n * int(length[i])
+        for i in np.argsort(length, kind="stable"):
+            n = min(int(take[i]), max(0, -(-(window - gap) // int(length[i]))))
+            take[i] -= n
+            gap += n * int(length[i])
+        used, reached = fill(length, count - take, gap)
+        if reached == gap or not take.any():
+            return take + used
+        window *= 4
 
 
 def mix_documents(docs: DataFrame, mix: Mix = Mix(), keep: tuple[str, ...] = ("doc_id",), source: str = "source") -> DataFrame:
     """Every row with ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` words.
 
-    A source's words come within a few words of its target wherever its lengths
-    allow. Rows without words count 0 and are never taken. Rows of equal hash, size
+    A source's words come as near to its target, from below, as any choice of its
+    documents can. Rows without words count 0 and are never taken. Rows of equal hash, size
     and source are ordered by the ``keep`` columns; equal rows are interchangeable.
-    Reruns agree. Null is a source of its own. An empty table gives no rows.
+    Reruns agree. Null is a source of its own. An empty table gives no rows. ``keep``
+    must not name a result; other columns may have any name.
 
     Only ids, sources and sizes are shuffled. The table of lengths is bounded by the
     longest text; which rows of a length are taken needs an order only inside the one
     hash range that holds the boundary.
     """
+    clash = {*keep, source} & {"size", "source_size", "target", "copies", "taken"}
+    if clash:
+        raise ValueError(f"results have the names of kept columns: {sorted(clash)}")
     columns = tuple(dict.fromkeys([*keep, source]))
     sized = stored(word_counts(docs, columns).withColumnRenamed(source, "source") if source != "source" else word_counts(docs, columns))
     ids = [c for c in keep if c != source]
@@ -184,7 +217,7 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), keep: tuple[str, ...] = ("d
     ).drop("source")
 
     h = F.xxhash64(F.lit(mix.seed), *ids) if ids else F.xxhash64(F.lit(mix.seed), "size")
-    rows = sized.withColumns({"skey": skey, "h": h}).withColumn("range", F.shiftrightunsigned("h", 64 - 12))
+    rows = sized.withColumns({"skey": skey, "h": h}).withColumn("range", F.shiftrightunsigned("h", 64 - RANGE_BITS))
     # hash ranges wholly below the boundary are taken, those above are not
     partly = plans.where("extra > 0")
     ranges = rows.groupBy("skey", "size", "range").agg(F.count(F.lit(1)).alias("n"))

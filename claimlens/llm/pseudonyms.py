@@ -4,17 +4,21 @@ Numbers and dates that pass their validation are permuted under a key inside the
 own format: a card number becomes another valid card number, a date another date.
 A value is split into two parts, L modulo a and R modulo b; each round adds a keyed
 hash of one part to the other, so every round is a bijection of exactly a * b values
-and the inverse subtracts the same hashes. Equal values get equal pseudonyms in all
-documents.
+and the inverse subtracts the same hashes. The rounds are undone, the value takes one
+step in its domain, and the rounds are done again: no step leads back to its start, so
+no value is its own pseudonym. Equal values get equal pseudonyms in all documents.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .frames import free_name
+
 ROUNDS = 8
 
 
@@ -26,16 +30,14 @@ def keyed(key: str, tag: str, i: int, part: Column, modulus: Column | int) -> Co
 
 
 def feistel(left: Column, right: Column, a: Column | int, b: Column | int, key: str, tag: str, invert: bool = False) -> Column:
-    """A keyed permutation of pairs (left below a, right below b); struct(left, right).
+    """A keyed permutation of pairs (left below a, right below b) without a fixed point, for a > 1; struct(left, right).
 
     Each round is bound as a lambda variable, so a round's hash is evaluated once.
     """
     a = F.lit(a).cast("long") if isinstance(a, int) else a.cast("long")
     b = F.lit(b).cast("long") if isinstance(b, int) else b.cast("long")
-    steps = list(range(ROUNDS))[:: -1 if invert else 1]
-    sign = -1 if invert else 1
 
-    def one(i: int) -> Callable[[Column], Column]:
+    def one(i: int, sign: int) -> Callable[[Column], Column]:
         def run(s: Column) -> Column:
             if i % 2 == 0:
                 new = F.pmod(s["l"] + F.lit(sign) * keyed(key, tag, i, s["r"], a), a)
@@ -46,8 +48,12 @@ def feistel(left: Column, right: Column, a: Column | int, b: Column | int, key:
         return run
 
     state = F.array(F.struct(left.cast("long").alias("l"), right.cast("long").alias("r")))
-    for i in steps:
-        state = F.transform(state, one(i))
+    for i in reversed(range(ROUNDS)):
+        state = F.transform(state, one(i, -1))
+    step = F.lit(-1 if invert else 1)
+    state = F.transform(state, lambda s: F.struct(F.pmod(s["l"] + step, a).alias("l"), s["r"].alias("r")))
+    for i in range(ROUNDS):
+        state = F.transform(state, one(i, 1))
     return F.get(state, F.lit(0))
 
 
@@ -178,48 +184,127 @@ def permute_phone(value: Column, key: str, invert: bool = False) -> Column:
 
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
+DIGITS = "0123456789"
+# a digest of 256 hexadecimal digits masks so many characters
+MASKED = 42
+
+
+def cycle(key: str, tag: str, n: int) -> list[int]:
+    """A keyed permutation of 0 to n - 1 that is one cycle, so that no value stays."""
+    order = sorted(range(n), key=lambda i: hashlib.sha256(f"{key}|{tag}|{n}|{i}".encode()).hexdigest())
+    out = [0] * n
+    for at, to in zip(order, order[1:] + order[:1]):
+        out[at] = to
+    return out
+
+
+def moved_char(c: Column, by: Column, letters: str) -> Column:
+    """A letter or digit moved ``by`` places in its alphabet; other characters stay."""
+    lower, upper, digit = F.instr(F.lit(letters), c), F.instr(F.lit(letters.upper()), c), F.instr(F.lit(DIGITS), c)
+
+    def turn(alphabet: str, where: Column) -> Column:
+        return F.substring(F.lit(alphabet), F.pmod(where - 1 + by, F.lit(len(alphabet))).cast("int") + 1, F.lit(1))
+
+    return (
+        F.when(c == "", c)
+        .when(lower > 0, turn(letters, lower))
+        .when(upper > 0, turn(letters.upper(), upper))
+        .when(digit > 0, turn(DIGITS, digit))
+        .otherwise(c)
+    )
+
+
+def place_of(c: Column, letters: str) -> Column:
+    """0-based place of a letter or digit in its alphabet; null for other characters."""
+    found = F.greatest(F.instr(F.lit(letters), F.lower(c)), F.instr(F.lit(DIGITS), c))
+    return F.when((c != "") & (found > 0), found - 1)
+
+
+def char_at(shape: Column, place: Column, letters: str) -> Column:
+    """The letter (in the case of ``shape``) or digit at a place."""
+    one = lambda alphabet: F.substring(F.lit(alphabet), place.cast("int") + 1, F.lit(1))
+    return F.when(shape.rlike("[0-9]"), one(DIGITS)).when(shape.rlike("[A-Z]"), one(letters.upper())).otherwise(one(letters))
+
+
+def permute_short(value: Column, key: str, invert: bool, letters: str) -> Column:
+    """A word of one or two characters by a permutation of all words of its shape."""
+    first, second = F.substring(value, F.lit(1), F.lit(1)), F.substring(value, F.lit(2), F.lit(1))
+
+    def table(n: int) -> Column:
+        to = cycle(key, "short", n)
+        if invert:
+            to = [x for _, x in sorted((y, x) for x, y in enumerate(to))]
+        return F.expr(f"array({', '.join(map(str, to))})")
+
+    def sized(c: Column) -> Column:
+        return F.when(c.rlike("[0-9]"), F.lit(len(DIGITS))).otherwise(F.lit(len(letters)))
+
+    one, two = place_of(first, letters), place_of(second, letters)
+    both, width = one.isNotNull() & two.isNotNull(), sized(second)
+    # characters that do not move count as one value
+    number = F.when(both, one * width + two).otherwise(F.coalesce(one, two))
+    total = F.when(both, sized(first) * width).otherwise(F.when(one.isNotNull(), sized(first)).otherwise(sized(second)))
+    new = None
+    for n in sorted({x * y for x in (len(letters), len(DIGITS)) for y in (1, len(letters), len(DIGITS))}):
+        value_of = F.get(table(n), number)
+        new = F.when(total == n, value_of) if new is None else new.when(total == n, value_of)
+
+    def show(x: Column) -> Column:
+        left = F.when(both, F.floor(x / width)).otherwise(x)
+        right = F.when(both, F.pmod(x, width)).otherwise(x)
+        return F.concat(
+            F.when(one.isNotNull(), char_at(first, left, letters)).otherwise(first),
+            F.when(two.isNotNull(), char_at(second, right, letters)).otherwise(second),
+        )
+
+    return F.coalesce(F.get(F.transform(F.array(new), show), F.lit(0)), value)
 
 
 def permute_name(value: Column, key: str, invert: bool = False, letters: str = LETTERS) -> Column:
     """Letters and digits of a word, moved inside their alphabets; other characters stay.
 
     The word is cut in two halves that shift each other in turn, character by
-    character, so the whole is a bijection of words of one shape.
+    character under a mask of key, round, other half and place, so the whole is a
+    bijection of words of one shape. In between, the first letter or digit takes one
+    step. Words of one or two characters are permuted as a whole.
     """
     n = F.length(value)
     cut = F.floor(n / 2).cast("int")
 
-    def shifted(part: Column, other: Column, i: int) -> Column:
-        sign = -1 if invert else 1
-        mask = F.sha2(F.concat_ws("|", F.lit(key), F.lit("name"), F.lit(str(i)), other), 512)
+    def shifted(part: Column, other: Column, i: int, sign: int) -> Column:
+        mask = F.concat(*[F.sha2(F.concat_ws("|", F.lit(key), F.lit("name"), F.lit(f"{i}{half}"), other), 512) for half in "ab"])
 
         def move(c: Column, at: Column) -> Column:
-            k = F.conv(F.substring(mask, F.pmod(at * 4, F.lit(120)) + 1, F.lit(6)), 16, 10).cast("long")
-            lower, upper, digit = F.instr(F.lit(letters), c), F.instr(F.lit(letters.upper()), c), F.instr(F.lit("0123456789"), c)
-
-            def turn(alphabet: str, where: Column) -> Column:
-                return F.substring(F.lit(alphabet), F.pmod(where - 1 + F.lit(sign) * k, F.lit(len(alphabet))).cast("int") + 1, F.lit(1))
-
-            return (
-                F.when(c == "", c).when(lower > 0, turn(letters, lower)).when(upper > 0, turn(letters.upper(), upper)).when(digit > 0, turn("0123456789", digit)).otherwise(c)
-            )
+            k = F.conv(F.substring(mask, F.pmod(at, F.lit(MASKED)) * 6 + 1, F.lit(6)), 16, 10).cast("long")
+            return moved_char(c, F.lit(sign) * k, letters)
 
         return F.array_join(F.transform(F.split(part, ""), move), "")
 
-    # classes of characters do not change, so the shape is the same on both ways
-    state = F.array(F.struct(F.substring(value, F.lit(1), cut).alias("l"), F.substring(value, cut + 1, n - cut).alias("r")))
-
-    def one(i: int) -> Callable[[Column], Column]:
+    def one(i: int, sign: int) -> Callable[[Column], Column]:
         def run(s: Column) -> Column:
             if i % 2 == 0:
-                return F.struct(shifted(s["l"], s["r"], i).alias("l"), s["r"].alias("r"))
-            return F.struct(s["l"].alias("l"), shifted(s["r"], s["l"], i).alias("r"))
+                return F.struct(shifted(s["l"], s["r"], i, sign).alias("l"), s["r"].alias("r"))
+            return F.struct(s["l"].alias("l"), shifted(s["r"], s["l"], i, sign).alias("r"))
 
         return run
 
-    for i in list(range(4))[:: -1 if invert else 1]:
-        state = F.transform(state, one(i))
-    return F.get(F.transform(state, lambda s: F.concat(s["l"], s["r"])), F.lit(0))
+    def step(s: Column) -> Column:
+        word = F.concat(s["l"], s["r"])
+        before = F.regexp_extract(word, f"^[^{letters}{letters.upper()}0-9]*", 0)
+        at = F.length(before) + 1
+        moved = moved_char(F.substring(word, at, F.lit(1)), F.lit(-1 if invert else 1), letters)
+        return F.concat(before, moved, F.substring(word, at + 1, F.length(word)))
+
+    # classes of characters do not change, so the shape is the same on both ways
+    state = F.array(F.struct(F.substring(value, F.lit(1), cut).alias("l"), F.substring(value, cut + 1, n - cut).alias("r")))
+    for i in reversed(range(4)):
+        state = F.transform(state, one(i, -1))
+    stepped = F.transform(state, step)
+    state = F.transform(stepped, lambda w: F.struct(F.substring(w, F.lit(1), cut).alias("l"), F.substring(w, cut + 1, n - cut).alias("r")))
+    for i in range(4):
+        state = F.transform(state, one(i, 1))
+    long = F.get(F.transform(state, lambda s: F.concat(s["l"], s["r"])), F.lit(0))
+    return F.when(n <= 2, permute_short(value, key, invert, letters)).otherwise(long)
 
 
 def permute_email(value: Column, key: str, invert: bool = False) -> Column:
@@ -309,21 +394,29 @@ def pseudonym(piece: Column, key: str, invert: bool = False) -> Column:
 def pseudonymize(docs: DataFrame, key: str, text: str = "text", invert: bool = False) -> DataFrame:
     """``docs`` with personal values of ``text`` replaced; plus ``n_found``, ``kinds`` and ``pieces``.
 
+    A column of ``docs`` with one of these names is replaced. Ids are not used: rows
+    without one, or with one id, are treated like any others.
     ``pieces`` lists (kind, value before, value after). Null texts stay null; texts
     without candidates are returned unchanged. With ``invert`` and the same key the
     text comes back. No shuffle: each text is cut at the candidates, the candidates
     are permuted, and the parts are joined again.
     """
-    cut = docs.withColumn("__found", F.regexp_extract_all(F.col(text), F.lit(FIND), F.lit(0)))
-    moved = F.transform("__found", lambda p: F.struct(kind_of(p).alias("kind"), p.alias("before"), pseudonym(p, key, invert).alias("after")))
-    some = cut.withColumn("__moved", F.when(F.size("__found") > 0, moved))
+    results = ("n_found", "kinds", "pieces")
+    found, changed = free_name(docs, "__found"), free_name(docs, "__moved")
+    cut = docs.withColumn(found, F.regexp_extract_all(F.col(text), F.lit(FIND), F.lit(0)))
+    moved = F.transform(found, lambda p: F.struct(kind_of(p).alias("kind"), p.alias("before"), pseudonym(p, key, invert).alias("after")))
+    some = cut.withColumn(changed, F.when(F.size(found) > 0, moved))
     gaps = F.split(F.col(text), FIND, -1)
     joined = F.array_join(
-        F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col("__moved"), i)["after"], F.lit("")))), ""
+        F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col(changed), i)["after"], F.lit("")))), ""
     )
-    good = F.filter("__moved", lambda p: p["kind"].isNotNull())
+    good = F.filter(changed, lambda p: p["kind"].isNotNull())
     return some.select(
-        *[F.when(F.size("__found") > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in docs.columns],
+        *[
+            F.when(F.size(found) > 0, joined).otherwise(F.col(text)).alias(c) if c == text else F.col(f"`{c}`")
+            for c in docs.columns
+            if c.lower() not in results
+        ],
         F.coalesce(F.size(good), F.lit(0)).cast("long").alias("n_found"),
         F.coalesce(F.array_sort(F.array_distinct(F.transform(good, lambda p: p["kind"]))), F.array().cast("array<string>")).alias("kinds"),
         F.coalesce(good, F.array().cast("array<struct<kind:string,before:string,after:string>>")).alias("pieces"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.llm import bpe, jaccard, lines, mixing, queries, repetition
-from claimlens.llm.frames import work_folder
+from claimlens.llm.frames import free_name, work_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on many sources stay in their first document only; ``n_chars`` follows the text."""
-    out = lines.remove_boilerplate(docs, queries.SPREAD).drop("removed_lines")
+    out = lines.remove_boilerplate(docs, queries.SPREAD, free_name(docs, "removed_lines"))
     return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 

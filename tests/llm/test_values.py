@@ -8,11 +8,13 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
+import pytest
 from llm_rows import ODD
 from pyspark.sql import functions as F
 
-from claimlens.llm import chat, context_tree, mixing, pseudonyms, queries
+from claimlens.llm import chat, context_tree, lines, mixing, pseudonyms, queries
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,11 +88,77 @@ def test_values_that_fail_validation_and_odd_rows_stay(docs):
     assert pseudonyms.pseudonymize(docs([]), "key").collect() == []
 
 
-def test_rounds_are_a_bijection(work):
+def plain_feistel(left, right, a, b, key, tag, invert=False):
+    """The rounds undone, one step, the rounds done again, in plain Python."""
+    def mask(i, part, modulus):
+        return int(hashlib.sha256(f"{key}|{tag}|{i}|{part}".encode()).hexdigest()[:13], 16) % modulus
+
+    def run(order, sign):
+        nonlocal left, right
+        for i in order:
+            if i % 2 == 0:
+                left = (left + sign * mask(i, right, a)) % a
+            else:
+                right = (right + sign * mask(i, left, b)) % b
+
+    run(reversed(range(pseudonyms.ROUNDS)), -1)
+    left = (left + (-1 if invert else 1)) % a
+    run(range(pseudonyms.ROUNDS), 1)
+    return left, right
+
+
+def test_rounds_are_a_bijection_without_fixed_points(work):
     pairs = work.range(189 * 773).select((F.col("id") / 773).cast("long").alias("a"), (F.col("id") % 773).alias("b"))
-    out = pairs.select(pseudonyms.feistel(F.col("a"), F.col("b"), 189, 773, "k", "t").alias("s")).select("s.l", "s.r")
-    assert out.distinct().count() == 189 * 773
-    assert out.where("l < 0 or l >= 189 or r < 0 or r >= 773").count() == 0
+    out = pairs.select("a", "b", pseudonyms.feistel(F.col("a"), F.col("b"), 189, 773, "k", "t").alias("s")).select("a", "b", "s.l", "s.r").toPandas()
+    assert len(set(zip(out.l, out.r))) == 189 * 773
+    assert out.l.between(0, 188).all() and out.r.between(0, 772).all()
+    assert not ((out.a == out.l) & (out.b == out.r)).any()
+    for row in out.sample(200, random_state=1).itertuples():
+        assert plain_feistel(row.a, row.b, 189, 773, "k", "t") == (row.l, row.r)
+
+
+def test_values_are_those_of_plain_python(docs):
+    def halves(number, tag):
+        cut = len(number) // 2
+        l, r = plain_feistel(int(number[:cut]), int(number[cut:]), 10**cut, 10 ** (len(number) - cut), "key", tag)
+        return f"{l:0{cut}d}{r:0{len(number) - cut}d}"
+
+    values = {"10.0.255.1": None, "665-01-0001": None, "4539578763621486": None, "+1 (743) 555-3824": None}
+    got = {}
+    for r in pseudonyms.pseudonymize(docs(list(enumerate(values))), "key").collect():
+        got[r.pieces[0].before] = r.pieces[0].after
+    l, r = plain_feistel(10 * 256, 255 * 256 + 1, 65536, 65536, "key", "ip")
+    assert got["10.0.255.1"] == f"{l // 256}.{l % 256}.{r // 256}.{r % 256}"
+    body = halves("453957876362148", "card")
+    assert got["4539578763621486"][:-1] == body and luhn(got["4539578763621486"])
+    assert re.sub(r"\D", "", got["+1 (743) 555-3824"]) == "1743" + halves("5553824", "phone")
+    l, r = plain_feistel(664, 0, 898, 99 * 9999, "key", "ssn")
+    assert got["665-01-0001"] == f"{l + (2 if l + 1 >= 666 else 1):03d}-{r // 9999 + 1:02d}-{r % 9999 + 1:04d}"
+
+
+SHORT = [*"abcxyzAZ059", "a1", "Zz", "9_", "b.", "00", "q%"]
+
+
+def test_no_value_is_its_own_pseudonym(docs):
+    parts = SHORT + ["abc", "a.b", "x--", "jane.doe.19", "A" * 40 + ".9", "z" * 64]
+    dates = [f"{1800 + 7 * i}-0{i % 9 + 1}-1{i % 9}" for i in range(50)]
+    rows = [(i, f"{p}@mail.example.com") for i, p in enumerate(parts)] + [(100 + i, d) for i, d in enumerate(dates)]
+    # one plan for many keys: the key is a constant of each
+    frame = docs(rows)
+    for key in [f"key{i}" for i in range(6)]:
+        out = pseudonyms.pseudonymize(frame, key).orderBy("doc_id").collect()
+        assert [r.n_found for r in out] == [1] * len(rows)
+        assert all(r.text != t for r, (_, t) in zip(out, rows)), key
+        assert len({r.text for r in out}) == len(rows)
+        for r, (_, t) in zip(out, rows):
+            assert re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", r.text))) == re.sub("[0-9]", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", t)))
+    back = pseudonyms.pseudonymize(docs([(r.doc_id, r.text) for r in out]), key, invert=True).orderBy("doc_id").collect()
+    assert [r.text for r in back] == [t for _, t in rows]
+    # short words run through one cycle of all words of their shape
+    for n in (10, 26, 100, 260, 676):
+        for i in range(50):
+            to = pseudonyms.cycle(f"key{i}", "short", n)
+            assert sorted(to) == list(range(n)) and all(x != y for x, y in enumerate(to))
 
 
 def kt(a, b):
@@ -180,15 +248,28 @@ def best_below(lengths, counts, budget):
 
 def test_budgets_are_met_as_nearly_as_any_choice_can():
     rng = random.Random(3)
-    for _ in range(200):
-        lengths = np.array(sorted(rng.sample(range(1, 60), rng.randint(1, 6))))
-        counts = np.array([rng.randint(1, 4) for _ in lengths])
+    cases = [(rng.sample(range(1, 60), rng.randint(1, 6)), 4) for _ in range(400)]
+    # few very long texts, whose sums no table could hold
+    cases += [(rng.sample(range(1, 90_000), rng.randint(1, 8)), 3) for _ in range(40)]
+    for some, most in cases:
+        lengths = np.array(sorted(some))
+        counts = np.array([rng.randint(1, most) for _ in lengths])
         budget = rng.randint(0, int((lengths * counts).sum()))
         take = mixing.fit_budget(lengths, counts, budget)
         assert (take >= 0).all() and (take <= counts).all()
-        got = int((take * lengths).sum())
-        assert got <= budget and budget - got <= max(lengths)
-    assert mixing.fit_budget(np.array([2, 5]), np.array([50, 50]), 173).sum() > 0
+        assert int((take * lengths).sum()) == best_below(lengths.tolist(), counts.tolist(), budget)
+    assert int(mixing.fit_budget(np.array([1, 54, 57]), np.array([2, 2, 3]), 109) @ np.array([1, 54, 57])) == 109
+
+
+def test_budgets_beyond_the_first_window():
+    lengths, counts = np.array([70_000, 80_000, 90_000]), np.ones(3, np.int64)
+    for budget, best in ((75_000, 70_000), (95_040, 90_000), (150_000, 150_000)):
+        assert int((mixing.fit_budget(lengths, counts, budget) * lengths).sum()) == best
+    # no single length fits the gap that the shares leave; taken documents have to go back
+    lengths, counts = np.array([20_011, 30_029]), np.array([40, 40])
+    for budget in (700_123, 1_000_001):
+        want = max(a * 20_011 + b * 30_029 for a in range(41) for b in range(41) if a * 20_011 + b * 30_029 <= budget)
+        assert int((mixing.fit_budget(lengths, counts, budget) * lengths).sum()) == want
 
 
 def brute_targets(sizes, weights=(3, 1, 2)):
@@ -301,3 +382,22 @@ def test_rendering_can_be_undone(work):
     assert first.count(chat.TURN_OPEN) == first.count(chat.TURN_CLOSE) == len(want[1])
     assert not any(c in body for c in chat.CONTROL)
     assert chat.digest(chat.format_conversations(chat.conversation_events(table.limit(0)))).collect() == []
+
+
+CLASHING = ("removed_lines", "n_found", "kinds", "pieces", "size", "target", "copies", "block", "root", "fingerprint", "taken", "output", "code")
+
+
+def test_columns_of_any_name_pass_the_pipeline_stages(work, docs):
+    frame = docs([(i, f"line one\nline two number {i} with some words of its own", f"s{i}") for i in range(12)])
+    for c in CLASHING:
+        frame = frame.withColumn(c, F.lit("mine"))
+    for _, stage in corpus_pipeline.STAGES[1:2] + corpus_pipeline.STAGES[3:4]:
+        out = stage(work, frame, SF)
+        assert out.columns == frame.columns
+        assert all(r[c] == "mine" for r in out.collect() for c in CLASHING)
+    plain = pseudonyms.pseudonymize(frame, "key")
+    assert sorted(plain.columns) == sorted(frame.columns) and {r.n_found for r in plain.select("n_found").collect()} == {0}
+    cut = lines.remove_boilerplate(frame)
+    assert sorted(cut.columns) == sorted(frame.columns) and sum(r.removed_lines for r in cut.select("removed_lines").collect()) == 11
+    with pytest.raises(ValueError, match="names of kept"):
+        mixing.mix_documents(frame, keep=("doc_id", "size"))
