@@ -145,7 +145,7 @@ def test_no_value_is_its_own_pseudonym(docs):
     rows = [(i, f"{p}@mail.example.com") for i, p in enumerate(parts)] + [(100 + i, d) for i, d in enumerate(dates)]
     # one plan for many keys: the key is a constant of each
     frame = docs(rows)
-    for key in [f"key{i}" for i in range(6)]:
+    for key in ("key3", "other"):
         out = pseudonyms.pseudonymize(frame, key).orderBy("doc_id").collect()
         assert [r.n_found for r in out] == [1] * len(rows)
         assert all(r.text != t for r, (_, t) in zip(out, rows)), key
