@@ -8,16 +8,22 @@ candidates come from a hash join instead of comparing every pair of a block.
 
 from __future__ import annotations
 
-from itertools import combinations
-from math import comb
+import zlib
+from collections import Counter
+from dataclasses import dataclass, field
+from math import floor
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_TOKENS = 6
-MAX_VARIANTS = 200
+# names of more tokens than this send classes instead of all pairs of tokens
+PAIR_TOKENS, CLASSES = 7, 4
+# lowest threshold at which a shared gram is certain
+LEAST_THRESHOLD = 75.0
+# how many of the most frequent parts are told apart by frequency; all others count as rare
+RANKED_PARTS = 65_536
 
 
 def lcs_length(a: str, b: str) -> int:
@@ -58,68 +64,163 @@ def token_set_ratio(a: str, b: str) -> float:
     return best
 
 
-def name_keys(name: str, threshold: float, listed: bool) -> list[str]:
+@dataclass(frozen=True)
+class PartOrder:
+    """A total order of tokens and grams, the rarest first; ``counts`` has the frequent ones."""
+
+    counts: dict[str, int] = field(default_factory=dict)
+
+    def key(self, part: str) -> tuple[int, str]:
+        return self.counts.get(part, 0), part
+
+
+def grams(tokens: list[str], q: int) -> list[str]:
+    """Runs of q characters of every token with a space around it, the n-th equal one tagged n.
+
+    They do not depend on the order of the tokens. Taking a character out destroys at
+    most q of them, putting one in at most q - 1.
+    """
+    seen: Counter[str] = Counter()
+    out = []
+    for token in tokens:
+        padded = f" {token} "
+        for i in range(len(padded) - q + 1):
+            gram = padded[i : i + q]
+            seen[gram] += 1
+            out.append(f"g{q}|{gram}|{seen[gram]}")
+    return out
+
+
+def lost_grams(length: int, slack: float, q: int) -> int:
+    """Most grams that a name of ``length`` can lose on the way to a similar one.
+
+    ``d`` deletions and ``i`` insertions keep the score when
+    d + i <= slack * (2 * length - d + i).
+    """
+    most = 0
+    for d in range(length + 1):
+        room = slack * (2 * length - d) - d
+        if room < 0:
+            break
+        most = max(most, q * d + (q - 1) * floor(room / (1 - slack)))
+    return most
+
+
+def name_keys(name: str, threshold: float, listed: bool, order: PartOrder = PartOrder()) -> dict[str, tuple[int, int, int, int]]:
     """Join keys of one name; ``listed`` tells the two sides apart.
 
-    With shared tokens S and remainders A, B of the two names, the threshold is
-    met because (1) S alone covers nearly all of one name, or (2) A and B are a
-    few insertions and deletions apart. For (1) the covered name sends its heavy
-    subsets and the other all of its subsets. For (2) both send every string
-    left after the deletions the threshold allows, tagged with the number of
-    deletions on each side, so equal keys mean a true match. Deletion counts too
-    large to enumerate fall back to shared substrings of guaranteed length, and
-    names of very many tokens to single tokens.
+    With shared tokens S and remainders A, B of the two names, the threshold is met in
+    one of two ways. (1) The whole names are a few insertions and deletions apart:
+    then they share one of the rarest grams of either, so both send that many grams.
+    (2) S is all, or nearly all, of one name: that name sends the two rarest tokens of
+    every such S (the token itself where S has one only), the other name its pairs of
+    tokens; past some tokens, it sends each token with the classes of the rarer-ranked
+    rest instead of all pairs.
+
+    A gram key comes with (q, length of the name, rank and number of its grams), other
+    keys with zeros.
     """
-    tokens = sorted(set(name.split()))
+    if threshold < LEAST_THRESHOLD:
+        raise ValueError(f"names can be joined from a similarity of {LEAST_THRESHOLD} on")
+    tokens = sorted(set(name.split()), key=order.key)
+    if not tokens:
+        return {}
     slack = 1 - threshold / 100.0 + 1e-9
     mine, theirs = ("l", "p") if listed else ("p", "l")
-    keys = {f"{theirs}t|{t}" for t in tokens}
-    if len(tokens) > MAX_TOKENS:
-        keys.update(f"{mine}t|{t}" for t in tokens)
-        subsets = [()]
-    else:
-        subsets = [s for r in range(len(tokens) + 1) for s in combinations(tokens, r)]
-    for subset in subsets:
-        shared = " ".join(subset)
-        rest = " ".join(t for t in tokens if t not in subset)
-        head = len(shared) + (1 if shared else 0)
-        if shared:
-            keys.add(f"{theirs}h|{shared}")
-            if not rest or (1 + len(rest)) <= slack * (2 * len(shared) + 1 + len(rest)):
-                keys.add(f"{mine}h|{shared}")
-        if not rest:
-            continue
-        for cut in range(len(rest)):
-            keep = len(rest) - cut
-            other = 0
-            while cut + other <= slack * (2 * head + 2 * keep + cut + other):
-                dels = (cut, other) if listed else (other, cut)
-                tag = f"r|{shared}|{dels[0]}|{dels[1]}|"
-                if max(comb(keep + cut, cut), comb(keep + other, other)) <= MAX_VARIANTS:
-                    keys.update(
-                        tag + "".join(chosen) for chosen in combinations(rest, keep)
-                    )
-                else:
-                    size = -(-keep // (cut + other + 1))
-                    keys.update(
-                        f"g{tag}{rest[i : i + size]}" for i in range(len(rest) - size + 1)
-                    )
-                other += 1
-            if other == 0:
+    length = sum(map(len, tokens)) + len(tokens) - 1
+    keys: dict[str, tuple[int, int, int, int]] = {}
+    for q in (3, 2):
+        ranked = sorted(grams(tokens, q), key=order.key)
+        lost = lost_grams(length, slack, q)
+        for i, gram in enumerate(ranked[: lost + 1]):
+            keys[gram] = q, length, i, len(ranked)
+        # all grams may be lost only in names of many short tokens, which then meet on shorter grams
+        if len(ranked) > lost:
+            break
+    none = (0, 0, 0, 0)
+
+    def light(left_out: list[str]) -> bool:
+        if not left_out:
+            return True
+        a = sum(map(len, left_out)) + len(left_out)
+        return a <= slack * (2 * (length - a) + a)
+
+    for i, x in enumerate(tokens):
+        if light(tokens[:i] + tokens[i + 1 :]):
+            keys[f"o{mine}|{x}"] = none
+        if not light(tokens[:i]):
+            break
+        for j in range(i + 1, len(tokens)):
+            if not light(tokens[:i] + tokens[i + 1 : j]):
                 break
-    return list(keys)
+            keys[f"p{mine}|{x}|{tokens[j]}"] = none
+            keys[f"c{mine}|{x}|{class_of(tokens[j])}"] = none
+    for i, x in enumerate(tokens):
+        keys[f"o{theirs}|{x}"] = none
+        for y in tokens[i + 1 :]:
+            if len(tokens) <= PAIR_TOKENS:
+                keys[f"p{theirs}|{x}|{y}"] = none
+            else:
+                keys[f"c{theirs}|{x}|{class_of(y)}"] = none
+    return keys
 
 
-def similarity_keys(name: Column, threshold: float, listed: bool) -> Column:
-    """Array of join keys per name, computed in Arrow batches."""
+def class_of(token: str) -> int:
+    return zlib.crc32(token.encode()) % CLASSES
+
+
+def part_order(names: Column, *frames: DataFrame) -> PartOrder:
+    """The order by frequency over the names of all frames; a bounded number of parts is looked at on the driver."""
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
+    def parts(column: pd.Series) -> pd.Series:
+        def of(name: str) -> list[str]:
+            tokens = sorted(set(name.split()))
+            return tokens + grams(tokens, 3) + grams(tokens, 2)
+
+        return column.map(of)
+
+    every = None
+    for frame in frames:
+        here = frame.select(F.explode(parts(names)).alias("part"))
+        every = here if every is None else every.unionByName(here)
+    top = every.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "part").limit(RANKED_PARTS)
+    return PartOrder({r.part: r.n for r in top.collect()})
+
+
+KEY = T.StructType(
+    [T.StructField("k", T.StringType())] + [T.StructField(c, T.IntegerType()) for c in ("q", "length", "rank", "grams")]
+)
+
+
+def similarity_keys(name: Column, threshold: float, listed: bool, order: PartOrder = PartOrder()) -> Column:
+    """Array of join keys per name, computed in Arrow batches."""
+
+    @F.pandas_udf(T.ArrayType(KEY))
     def keys(names: pd.Series) -> pd.Series:
-        return names.map(lambda s: name_keys(s, threshold, listed))
+        return names.map(lambda s: [(k, *place) for k, place in name_keys(s, threshold, listed, order).items()])
 
     return keys(name)
 
 
+def may_reach(left: str, right: str, threshold: float) -> Column:
+    """Whether the lengths and ranks of a shared gram still allow the threshold.
+
+    Equal keys are not the first shared gram of two names by necessity, so as many
+    grams as precede the lower rank may be shared as well.
+    """
+    a, b = (lambda c, side=side: F.col(f"{side}.{c}") for side in (left, right))
+    q = a("q")
+    apart = a("length") - b("length")
+    edits = F.floor((1 - threshold / 100.0 + 1e-9) * (a("length") + b("length")))
+    gone = F.floor((edits + apart) / 2)
+    lost_left = (q - 1) * edits + gone
+    lost_right = (q - 1) * edits + (edits - gone)
+    needed = F.greatest(a("grams") - lost_left, b("grams") - lost_right)
+    shared = F.least(a("rank"), b("rank")) + 1 + F.least(a("grams") - a("rank"), b("grams") - b("rank")) - 1
+    return (q == 0) | ((F.abs(apart) <= edits) & (shared >= needed))
+
+
 @F.pandas_udf(T.DoubleType())
 def ratio_score(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b)], dtype=float)

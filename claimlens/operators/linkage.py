@@ -7,7 +7,7 @@ by one tier takes no part in the later ones.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.checkpoints import materialize
 from ..functions.columns import normalize_name, normalize_state, unordered_pair_in
-from ..functions.similarity import ratio_score, similarity_keys, token_set_score
+from ..functions.similarity import may_reach, part_order, ratio_score, similarity_keys, token_set_score
 from ..schemas import CROSS_GENDER_PAIRS, MATCH_STATES, NON_BILLING_SPECIALTIES, SENTINEL_NPI
 
 NAME = ["leie_state_norm", "leie_last_norm", "leie_first_norm"]
@@ -138,21 +138,22 @@ def similar_names(
     """Distinct (state, left name, right name, score) at or above the threshold.
 
     Both inputs hold distinct (state, name) rows. Names meet on similarity keys,
-    which only similar names share, never on the whole state.
+    which only similar names share, never on the whole state; a name sends a few
+    dozen at most, its rarest parts first. Lengths and ranks of a shared gram drop
+    most other meetings before the pairs are folded and scored.
     """
+    left, right = materialize(left), materialize(right)
+    order = part_order(F.col("name"), left.select(F.col(left_name).alias("name")), right.select(F.col(right_name).alias("name")))
 
     def keyed(df: DataFrame, name: str, listed: bool) -> DataFrame:
-        key = F.explode(similarity_keys(F.col(name), threshold, listed))
-        return df.select("state", name, key.alias("k")).select(
-            "state", name, F.xxhash64("state", "k").alias("k")
+        key = F.explode(similarity_keys(F.col(name), threshold, listed, order))
+        return df.select("state", name, key.alias("key")).select(
+            "state", name, F.xxhash64("state", "key.k").alias("k"), F.struct("key.q", "key.length", "key.rank", "key.grams").alias("at")
         )
 
-    pairs = (
-        keyed(left, left_name, True)
-        .join(keyed(right, right_name, False), ["state", "k"])
-        .select("state", left_name, right_name)
-        .distinct()
-    )
+    one = keyed(left, left_name, True).withColumnRenamed("at", "one")
+    two = keyed(right, right_name, False).withColumnRenamed("at", "two")
+    pairs = one.join(two, ["state", "k"]).where(may_reach("one", "two", threshold)).select("state", left_name, right_name).distinct()
     return pairs.withColumn("similarity_score", token_set_score(left_name, right_name)).where(
         F.col("similarity_score") >= threshold
     )
@@ -182,7 +183,7 @@ def best_providers(
 def fuzzy_name_pairs(
     listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
 ) -> DataFrame:
-    """Tier 3 at the grain (list name, provider) with the three scores.
+    """Tier 3 at the grain (list name, provider) with the provider's first name and three scores.
 
     The five best providers per list name are taken on the whole-name score
     before the component floors, the gender pairs and the initial are tested.
@@ -238,6 +239,7 @@ def fuzzy_name_pairs(
         "leie_last_norm",
         "leie_first_norm",
         "npi",
+        "mart_first_norm",
         "similarity_score",
         "last_score",
         "first_score",
@@ -248,7 +250,7 @@ def match_fuzzy_name(
     listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
 ) -> DataFrame:
     """Tier 3 candidate rows."""
-    pairs = fuzzy_name_pairs(listed, providers, config)
+    pairs = fuzzy_name_pairs(listed, providers, config).drop("mart_first_norm")
     return (
         listed.join(pairs, NAME)
         .join(providers, "npi")
@@ -256,10 +258,11 @@ def match_fuzzy_name(
     )
 
 
-def match_business(
-    listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
-) -> DataFrame:
-    """Tier 4 candidate rows: three best organisations per business name."""
+BUSINESS = ["leie_state_norm", "leie_busname_norm"]
+
+
+def business_pairs(listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
+    """Tier 4 at the grain (business name, provider): three best organisations each."""
     orgs = providers.where((F.col("mart_entity_type") == "O") & filled("mart_last_norm")).select(
         "npi", F.col("mart_state_norm").alias("state"), F.col("mart_last_norm").alias("org")
     )
@@ -268,14 +271,20 @@ def match_business(
         F.col("leie_state_norm").alias("state"), F.col("leie_busname_norm").alias("target")
     ).distinct()
     matched = similar_names(targets, names, "target", "org", config.fuzzy_threshold_t4)
-    best = best_providers(matched, orgs, ["org"], "target", 3).select(
+    return best_providers(matched, orgs, ["org"], "target", 3).select(
         F.col("state").alias("leie_state_norm"),
         F.col("target").alias("leie_busname_norm"),
         "npi",
         "similarity_score",
     )
+
+
+def match_business(
+    listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
+) -> DataFrame:
+    """Tier 4 candidate rows."""
     return (
-        listed.join(best, ["leie_state_norm", "leie_busname_norm"])
+        listed.join(business_pairs(listed, providers, config), BUSINESS)
         .join(providers, "npi")
         .withColumn("match_tier", F.lit(4))
     )
@@ -388,14 +397,34 @@ def final_labels(matches: DataFrame) -> DataFrame:
     )
 
 
-def link_labels(
+@dataclass
+class CandidateCounts:
+    """Candidates of every tier by counts: rows are never paired with providers.
+
+    ``entries`` are the list rows with their candidates per tier (n1 to n4) and per row
+    key; ``fuzzy`` and ``business`` pair names with providers, a few per name; a
+    provider in ``after1`` is open to tier 2 and the later ones.
+    """
+
+    entries: DataFrame
+    fuzzy: DataFrame
+    business: DataFrame | None
+    providers: DataFrame
+    after1: DataFrame
+
+
+def provider_names(providers: DataFrame) -> DataFrame:
+    renamed = {p: n for p, n in zip(PROVIDER_NAME, NAME)}
+    return providers.where(filled(*PROVIDER_NAME)).withColumnsRenamed(renamed)
+
+
+def count_candidates(
     listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
-) -> DataFrame:
-    """Same result as ``final_labels(run_match(...))`` for tiers 1 to 3, without
-    forming the candidate pairs of tier 2.
+) -> CandidateCounts:
+    """The tier cascade on distinct ids and names.
 
     A name carried by many list rows and many providers is settled by counting:
-    list rows fold to their best entry per name, providers to a count per name.
+    providers fold to a count per id and per name, and list rows look these up.
     """
     listed = materialize(listed.withColumn("leie_row_key", row_key()))
     providers = materialize(providers)
@@ -404,33 +433,83 @@ def link_labels(
     after1 = unmatched_by_npi(listed, providers)
     after2 = unmatched_by_name(people, after1)
     fuzzy = materialize(fuzzy_name_pairs(people, after2, config))
-
-    def provider_names(df: DataFrame) -> DataFrame:
-        renamed = {p: n for p, n in zip(PROVIDER_NAME, NAME)}
-        return df.where(filled(*PROVIDER_NAME)).withColumnsRenamed(renamed)
-
+    by_id = providers.groupBy(F.col("npi").alias("leie_npi")).agg(F.count(F.lit(1)).alias("n1"))
     by_name = provider_names(after1).groupBy(*NAME).agg(F.count(F.lit(1)).alias("n2"))
     by_fuzzy = fuzzy.groupBy(*NAME).agg(F.count(F.lit(1)).alias("n3"))
-    ids = providers.select(F.col("npi").alias("leie_npi"), F.lit(1).alias("n1"))
     valid = F.col("leie_npi") != SENTINEL_NPI
     counted = (
         listed.withColumn("leie_npi", F.trim("leie_npi"))
-        .join(ids, "leie_npi", "left")
+        .join(by_id, "leie_npi", "left")
         .join(by_name, NAME, "left")
         .join(by_fuzzy, NAME, "left")
-        .withColumns(
-            {
-                "n1": F.coalesce(F.when(valid, F.col("n1")), F.lit(0)),
-                "n2": F.coalesce(F.when(person, F.col("n2")), F.lit(0)),
-                "n3": F.coalesce(F.when(person, F.col("n3")), F.lit(0)),
-            }
-        )
     )
-    per_key = counted.groupBy("leie_row_key").agg(
-        F.sum(F.col("n1") + F.col("n2") + F.col("n3")).alias("leie_row_n_candidates")
+    business = None
+    if config.business_tier:
+        after3 = after2.join(fuzzy.select("npi"), "npi", "left_anti")
+        business = materialize(business_pairs(businesses(listed), after3, config))
+        by_business = business.groupBy(*BUSINESS).agg(F.count(F.lit(1)).alias("n4"))
+        counted = counted.join(by_business, BUSINESS, "left")
+    else:
+        counted = counted.withColumn("n4", F.lit(None).cast("long"))
+    tests = {"n1": valid, "n2": person, "n3": person, "n4": filled("leie_busname_norm") & bills_individually()}
+    counted = counted.withColumns({n: F.coalesce(F.when(test, F.col(n)), F.lit(0)) for n, test in tests.items()})
+    total = sum((F.col(n) for n in list(tests)[1:]), F.col("n1"))
+    per_key = counted.groupBy("leie_row_key").agg(F.sum(total).alias("leie_row_n_candidates"))
+    entries = materialize(counted.where(total > 0).join(per_key, "leie_row_key"))
+    return CandidateCounts(entries, fuzzy, business, providers, after1)
+
+
+def row_ambiguity(counts: CandidateCounts) -> DataFrame:
+    """Candidates per list row key."""
+    return counts.entries.groupBy("leie_row_key").agg(F.max("leie_row_n_candidates").alias("leie_row_n_candidates"))
+
+
+def provider_ambiguity(counts: CandidateCounts) -> DataFrame:
+    """Distinct list row keys per candidate provider.
+
+    Keys are counted per id and per name and handed to the providers of that id or
+    name. A provider of tier 3 or 4 may have several names and its keys are told apart
+    by name, so the counts of its names add up.
+    """
+    rows, columns = counts.entries, ["npi", "provider_n_leie_rows"]
+
+    def keys(n: str, by: list[str]) -> DataFrame:
+        return rows.where(F.col(n) > 0).groupBy(*by).agg(F.count_distinct("leie_row_key").alias("provider_n_leie_rows"))
+
+    out = keys("n1", ["leie_npi"]).withColumnRenamed("leie_npi", "npi").select(*columns)
+    out = out.unionByName(provider_names(counts.after1).join(keys("n2", NAME), NAME).select(*columns))
+    out = out.unionByName(counts.fuzzy.select("npi", *NAME).distinct().join(keys("n3", NAME), NAME).select(*columns))
+    if counts.business is not None:
+        out = out.unionByName(counts.business.select("npi", *BUSINESS).distinct().join(keys("n4", BUSINESS), BUSINESS).select(*columns))
+    return out.groupBy("npi").agg(F.sum("provider_n_leie_rows").alias("provider_n_leie_rows"))
+
+
+def summarize_counts(counts: CandidateCounts) -> DataFrame:
+    """The same as ``match_summary(run_match(...))``, from counts."""
+    return (
+        counts.entries.select(F.explode(tier_entries()).alias("t"), "leie_row_n_candidates")
+        .select(F.col("t.tier").alias("match_tier"), "t.n", "leie_row_n_candidates")
+        .withColumn("kept", F.when(keep_for_training(), F.col("n")).otherwise(F.lit(0)))
+        .groupBy("match_tier")
+        .agg(F.sum("n").alias("candidates"), F.sum("kept").alias("kept"), F.sum(F.col("n") - F.col("kept")).alias("dropped"))
     )
-    linked = counted.where(F.col("n1") + F.col("n2") + F.col("n3") > 0)
-    entries = materialize(linked.join(per_key, "leie_row_key"))
+
+
+def tier_entries() -> Column:
+    """The tiers in which a list row has candidates, with their number."""
+    tiers = F.array(*[F.struct(F.lit(t).alias("tier"), F.col(f"n{t}").cast("long").alias("n")) for t in (1, 2, 3, 4)])
+    return F.filter(tiers, lambda t: t.n > 0)
+
+
+def link_labels(
+    listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
+) -> DataFrame:
+    """Same result as ``final_labels(run_match(...))`` for tiers 1 to 3, without
+    forming the candidate pairs of tier 2: list rows fold to their best entry per
+    name, providers to a count per name.
+    """
+    counts = count_candidates(listed, providers, replace(config, business_tier=False))
+    entries, fuzzy, providers, after1 = counts.entries, counts.fuzzy, counts.providers, counts.after1
 
     def best(df: DataFrame, keys: list[str]) -> DataFrame:
         distinct_keys = (

@@ -106,6 +106,19 @@ def standard_scale(df: DataFrame, features: list[str], fit_on: DataFrame | None
     return df.withColumn("__s", row).withColumns(scaled).drop("__s")
 
 
+def split_dataset(
+    features_table: DataFrame,
+    labels: DataFrame,
+    test_size: float = 0.2,
+    seed: int = 42,
+    fraud_only: bool = True,
+    min_payments: float = MIN_PAYMENTS_FOR_LABEL,
+) -> DataFrame:
+    """Filtered labels and a stored split; gaps in the features stay."""
+    filtered = filter_labels(features_table, labels, fraud_only, min_payments)
+    return materialize(stratified_split(filtered, LABEL, test_size, seed))
+
+
 def prepare_dataset(
     features_table: DataFrame,
     labels: DataFrame,
@@ -121,7 +134,6 @@ def prepare_dataset(
     Medians come from the training rows; ``parity=True`` takes them over all rows.
     """
     features = [f for f in (features or ML_FEATURES) if f in features_table.columns]
-    filtered = filter_labels(features_table, labels, fraud_only, min_payments)
-    split = materialize(stratified_split(filtered, LABEL, test_size, seed))
+    split = split_dataset(features_table, labels, test_size, seed, fraud_only, min_payments)
     fit_on = None if parity else split.where(F.col("split") == "train")
     return impute(split, features, fit_on)

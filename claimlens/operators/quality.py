@@ -175,29 +175,33 @@ CONSTRAINTS = {
 
 def check_constraints(df: DataFrame, name: str, spec: Constraints) -> DataFrame:
     """Failing rows per constraint: NULLs, values outside the list (NULL passes)
-    and, for uniqueness, values that occur more than once."""
-    tests = {(c, "not_null"): F.count_if(F.col(c).isNull()) for c in spec.not_null}
+    and, for uniqueness, values that occur more than once.
+
+    One aggregate over the table: rows fold to a few counts per value of the unique
+    column, map-side first, and the counts of the values add up. A second unique
+    column takes a further pass.
+    """
+    tests = {(c, "not_null"): F.col(c).isNull() for c in spec.not_null}
     for c, values in spec.accepted.items():
-        tests[(c, "accepted_values")] = F.count_if(~F.col(c).isin(list(values)))
-    out = None
-    if tests:
-        one = df.agg(*[t.alias(f"t{i}") for i, t in enumerate(tests.values())])
-        rows = F.array(
-            *[
-                F.struct(F.lit(c).alias("column"), F.lit(kind).alias("test"), F.col(f"t{i}").alias("failures"))
-                for i, (c, kind) in enumerate(tests)
-            ]
-        )
-        out = one.select(F.explode(rows).alias("r")).select("r.*")
-    for c in spec.unique:
-        repeated = (
-            df.where(F.col(c).isNotNull())
-            .groupBy(c)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count_if(F.col("n") > 1).alias("failures"))
-            .select(F.lit(c).alias("column"), F.lit("unique").alias("test"), "failures")
-        )
-        out = repeated if out is None else out.unionByName(repeated)
+        tests[(c, "accepted_values")] = ~F.col(c).isin(list(values))
+    failing = {f"t{i}": F.count_if(t) for i, t in enumerate(tests.values())}
+    labels = [(c, kind, n) for (c, kind), n in zip(tests, failing)]
+
+    def shown(one: DataFrame, rows: list[tuple[str, str, str]]) -> DataFrame:
+        found = [F.struct(F.lit(c).alias("column"), F.lit(kind).alias("test"), F.col(n).alias("failures")) for c, kind, n in rows]
+        return one.select(F.explode(F.array(*found)).alias("r")).select("r.*")
+
+    def repeats(by: str, more: dict[str, Column]) -> DataFrame:
+        groups = df.groupBy(F.col(by).alias("value")).agg(F.count(F.lit(1)).alias("n"), *[t.alias(n) for n, t in more.items()])
+        again = F.count_if(F.col("value").isNotNull() & (F.col("n") > 1))
+        return groups.agg(again.alias("u"), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in more])
+
+    if spec.unique:
+        out = shown(repeats(spec.unique[0], failing), [*labels, (spec.unique[0], "unique", "u")])
+        for c in spec.unique[1:]:
+            out = out.unionByName(shown(repeats(c, {}), [(c, "unique", "u")]))
+    else:
+        out = shown(df.agg(*[t.alias(n) for n, t in failing.items()]), labels)
     return out.select(F.lit(name).alias("table"), "*", (F.col("failures") == 0).alias("passed"))
 
 

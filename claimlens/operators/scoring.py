@@ -54,15 +54,20 @@ def ensemble_score(df: DataFrame, weights: dict[str, float] | None = None) -> Da
 
     If the supervised layer is zero on every row its weight moves to the others.
     """
-    chosen = normalized_weights(weights)
     p = F.col(LAYERS["xgboost"])
     untrained = df.select((F.max(p) == 0) & (F.min(p) == 0)).scalar()
+    layers = {c: F.col(c) for c in LAYERS.values()}
+    return df.withColumn("risk_score", weighted_score(normalized_weights(weights), untrained, layers))
+
+
+def weighted_score(weights: dict[str, float], untrained: Column, layers: dict[str, Column]) -> Column:
+    """Score in [0, 100] of the layers' weighted sum; ``untrained`` moves the supervised weight to the others."""
 
     def weighted(w: dict[str, float]) -> Column:
-        return sum(F.lit(float(w[k])) * F.col(c) for k, c in LAYERS.items())
+        return sum(F.lit(float(w[k])) * layers[c] for k, c in LAYERS.items())
 
-    combined = F.when(untrained, weighted(UNSUPERVISED_WEIGHTS)).otherwise(weighted(chosen))
-    return df.withColumn("risk_score", clip(combined * 100.0, 0.0, 100.0))
+    combined = F.when(untrained, weighted(UNSUPERVISED_WEIGHTS)).otherwise(weighted(weights))
+    return clip(combined * 100.0, 0.0, 100.0)
 
 
 def tier_edges(df: DataFrame, score: str = "risk_score") -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,10 +25,17 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-# money per service can end exactly half-way between two rounded values, where
-# the order of summation would decide; both engines move it off the tie
-NUDGED = {"wavg_submitted_charge", "wavg_medicare_payment"}
-NUDGE = 1.37e-9
+# quotients of whole cents can end exactly half-way between two rounded values, where the
+# last bit of a double would decide: these columns are rounded in decimals, from nine digits
+DECIMAL = {"wavg_submitted_charge", "wavg_medicare_payment", "graph_weighted_degree"}
+
+
+def half_up(value: Column, digits: int) -> Column:
+    return F.round(value.cast("decimal(28,9)"), digits).cast("double")
+
+
+def half_up_sql(value: str, digits: int) -> str:
+    return f"round(({value})::DECIMAL(28,9), {digits})::DOUBLE"
 
 
 def rounded(df: DataFrame, columns: dict[str, int | None]) -> DataFrame:
@@ -38,7 +45,7 @@ def rounded(df: DataFrame, columns: dict[str, int | None]) -> DataFrame:
         if digits is None:
             return F.col(c)
         value = F.col(c).cast("double")
-        return F.round(value + NUDGE if c in NUDGED else value, digits).alias(c)
+        return (half_up(value, digits) if c in DECIMAL else F.round(value, digits)).alias(c)
 
     return df.select(*[show(c, d) for c, d in columns.items()])
 

@@ -6,7 +6,7 @@ with the blocks it needs, dependencies first.
 
 from __future__ import annotations
 
-from .catalog import NUDGE, NUDGED
+from .catalog import DECIMAL, half_up_sql
 from .testbed import EXCLUSION_TYPES, HIGH_CODES
 
 _HIGH = ", ".join(f"'{c}'" for c in HIGH_CODES)
@@ -222,7 +222,7 @@ def rounded(columns: dict[str, int | None]) -> str:
     def show(c: str, digits: int | None) -> str:
         if digits is None:
             return c
-        return f"round({c} + {NUDGE}, {digits}) AS {c}" if c in NUDGED else f"round({c}, {digits}) AS {c}"
+        return f"{half_up_sql(c, digits) if c in DECIMAL else f'round({c}, {digits})'} AS {c}"
 
     return ", ".join(show(c, d) for c, d in columns.items())
 

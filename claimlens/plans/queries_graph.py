@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from ..functions.checkpoints import materialize
 from ..operators import graph, prepare, quality, staging, summary
 from . import pipeline, testbed
-from .catalog import NUDGE, NUDGED, query, rounded
+from .catalog import DECIMAL, half_up_sql, query, rounded
 from .oracles import block, seeded, sql
 from .queries_features import inputs, labels
 from .queries_summary import mix
 
-# steps that the oracle offers; the change falls below N * TOL long before
-STEPS, TOL = 45, 1e-6
+# as many steps as the operator may take; the smaller the graph, the later the change falls below N * TOL
+STEPS, TOL = 100, 1e-6
 
 block(
     "edges",
@@ -25,7 +25,7 @@ block(
     "degrees",
     ["edges"],
     """
-    SELECT npi, count(*) AS graph_degree, sum(weight) AS graph_weighted_degree,
+    SELECT npi, count(*) AS graph_degree, sum(weight::DECIMAL(28,9))::DOUBLE AS graph_weighted_degree,
            count(*) / ((SELECT count(DISTINCT npi) + count(DISTINCT hcpcs_code) FROM edges) - 1)
                AS graph_degree_centrality
     FROM edges GROUP BY npi
@@ -58,7 +58,7 @@ for i in range(1, STEPS + 1):
 block(
     "stop",
     [f"rank{STEPS}"],
-    "SELECT min(i) AS i FROM ("
+    f"SELECT coalesce(min(i), {STEPS}) AS i FROM ("
     + " UNION ALL ".join(
         f"SELECT {i} AS i, sum(abs(p.x - q.x)) AS c FROM rank{i} p JOIN rank{i - 1} q USING (node)" for i in range(1, STEPS + 1)
     )
@@ -121,7 +121,7 @@ def graph_edges(spark, d):
 @query(
     "graph_degrees",
     sql(
-        "SELECT npi, graph_degree, round(graph_weighted_degree, 6) AS graph_weighted_degree,"
+        f"SELECT npi, graph_degree, {half_up_sql('graph_weighted_degree', 6)} AS graph_weighted_degree,"
         " round(graph_degree_centrality, 6) AS graph_degree_centrality FROM degrees",
         "degrees",
     ),
@@ -135,7 +135,7 @@ def graph_degrees(spark, d):
 
 @query("graph_pagerank", sql("SELECT npi, round(graph_pagerank, 10) AS graph_pagerank FROM pagerank", "pagerank"))
 def graph_pagerank(spark, d):
-    rows = graph.graph_pagerank(edges(spark, d), tol=TOL)
+    rows = graph.graph_pagerank(edges(spark, d), max_iter=STEPS, tol=TOL)
     return rounded(rows, {"npi": None, "graph_pagerank": 10})
 
 
@@ -375,7 +375,10 @@ block(
     "impute",
     sql(
         "SELECT npi, "
-        + ", ".join(f"round(coalesce({c}, (SELECT median({c}) FROM h)) + {NUDGE if c in NUDGED else 0}, 6) AS {c}" for c in PREP_FEATURES)
+        + ", ".join(
+            f"{half_up_sql(v, 6) if c in DECIMAL else f'round({v}, 6)'} AS {c}"
+            for c, v in ((c, f"coalesce({c}, (SELECT median({c}) FROM h))") for c in PREP_FEATURES)
+        )
         + " FROM h",
         "h",
     ),

@@ -308,7 +308,23 @@ def final_labels_from_candidates(spark, d):
     ),
 )
 def match_summary(spark, d):
-    return linkage.match_summary(linkage.run_match(listed(spark, d), names(spark, d), CONFIG))
+    return linkage.summarize_counts(linkage.count_candidates(listed(spark, d), names(spark, d), CONFIG))
+
+
+@query(
+    "row_ambiguity",
+    sql("SELECT leie_row_key, count(*) AS leie_row_n_candidates FROM matches GROUP BY leie_row_key", "matches"),
+)
+def row_ambiguity(spark, d):
+    return linkage.row_ambiguity(linkage.count_candidates(listed(spark, d), names(spark, d), CONFIG))
+
+
+@query(
+    "provider_ambiguity",
+    sql("SELECT npi, count(DISTINCT leie_row_key) AS provider_n_leie_rows FROM matches GROUP BY npi", "matches"),
+)
+def provider_ambiguity(spark, d):
+    return linkage.provider_ambiguity(linkage.count_candidates(listed(spark, d), names(spark, d), CONFIG))
 
 
 @query(
@@ -352,14 +368,18 @@ def audit_flags(spark, d):
     return kept(spark, d).select("npi", "leie_row_key", *audit.FLAGS, "any_flag")
 
 
+DECISION = (
+    f"CASE WHEN match_tier IN (3, 4) AND rate > {audit.TOLERANCE} THEN"
+    f" printf('{audit.DOUBTFUL.replace('%2$.1f', '%s').replace('%1$d', '%d')}', printf('%.1f', rate * 100), match_tier) END"
+)
+
+
 @query(
     "audit_report",
     sql(
-        """
+        f"""
         SELECT match_tier, n, n_flagged, rate AS estimated_fp_rate,
-               CASE WHEN match_tier IN (3, 4) AND rate > 0.15 THEN 'Tier ' || match_tier
-                    || ' estimated FP rate ' || printf('%.1f', rate * 100)
-                    || '% exceeds 15% — recommend tightening.' END AS decision
+               {DECISION} AS decision
         FROM (SELECT match_tier, count(*) AS n,
                      count(*) FILTER (WHERE coalesce(both_low, FALSE) OR last_too_short) AS n_flagged,
                      round(count(*) FILTER (WHERE coalesce(both_low, FALSE) OR last_too_short) / count(*), 4) AS rate
@@ -369,17 +389,16 @@ def audit_flags(spark, d):
     ),
 )
 def audit_report(spark, d):
-    return audit.audit_report(kept(spark, d))
+    return audit.audit_report_by_counts(linkage.count_candidates(listed(spark, d), names(spark, d), CONFIG))
 
 
 @query(
     "audit_decisions",
     sql(
-        """
-        SELECT unnest(CASE WHEN len(d) > 0 THEN d ELSE ['All tiers within tolerance; no tightening recommended.'] END) AS decision
+        f"""
+        SELECT unnest(CASE WHEN len(d) > 0 THEN d ELSE ['{audit.ALL_CLEAR}'] END) AS decision
         FROM (SELECT coalesce(list(decision) FILTER (WHERE decision IS NOT NULL), []) AS d FROM (
-            SELECT CASE WHEN match_tier IN (3, 4) AND rate > 0.15 THEN 'Tier ' || match_tier || ' estimated FP rate '
-                        || printf('%.1f', rate * 100) || '% exceeds 15% — recommend tightening.' END AS decision
+            SELECT {DECISION} AS decision
             FROM (SELECT match_tier, round(count(*) FILTER (WHERE coalesce(both_low, FALSE) OR last_too_short) / count(*), 4) AS rate
                   FROM audited GROUP BY match_tier)))
         """,
@@ -387,7 +406,7 @@ def audit_report(spark, d):
     ),
 )
 def audit_decisions(spark, d):
-    return audit.audit_decisions(audit.audit_report(kept(spark, d)))
+    return audit.audit_decisions(audit_report(spark, d))
 
 
 @query("audit_sample")

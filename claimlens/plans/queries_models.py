@@ -9,7 +9,7 @@ from ..operators import boosting, explain, forest, prepare
 from ..operators.explain import DIVERGENCE, FINDING, KEY_ANOMALIES, OPENINGS, OUTLIER, PEER_METRICS, THROUGHPUT
 from ..schemas import SQL_FEATURES
 from . import pipeline, testbed
-from .catalog import NUDGE, query
+from .catalog import half_up, half_up_sql, query
 from .oracles import block, sql
 from .queries_features import inputs
 from .queries_scoring import risk
@@ -137,7 +137,7 @@ def narratives(spark, d):
     sql(
         "SELECT * FROM ("
         + " UNION ALL ".join(
-            f"SELECT npi, '{label}' AS metric, round({c} + {NUDGE}, 6) AS value, "
+            f"SELECT npi, '{label}' AS metric, {half_up_sql(c, 6)} AS value, "
             + (f"round(zscore_{c}, 6)" if f"zscore_{c}" in FEATURES else "NULL::DOUBLE")
             + " AS zscore FROM mart"
             for c, label in PEER_METRICS.items()
@@ -148,4 +148,4 @@ def narratives(spark, d):
 )
 def peer_comparison(spark, d):
     rows = explain.peer_comparison(pipeline.build_mart(inputs(spark, d)).mart)
-    return rows.select("npi", "metric", F.round(F.col("value") + NUDGE, 6).alias("value"), F.round("zscore", 6).alias("zscore"))
+    return rows.select("npi", "metric", half_up(F.col("value"), 6).alias("value"), F.round("zscore", 6).alias("zscore"))

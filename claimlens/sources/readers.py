@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,17 +39,39 @@ def csv_files(spark: SparkSession, paths: list[str], name_glob: str = "*") -> li
     return [r.path for r in listing.select("path").orderBy("path").collect()]
 
 
+def csv_headers(spark: SparkSession, files: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of every file from its first line that is not blank, in one distributed read.
+
+    Names are settled as Spark settles them: blank ones become ``_c`` and their place,
+    repeated ones get their place appended. Files without a line are left out.
+    """
+    if not files:
+        return {}
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at")
+    )
+    # a header stands in the first block of its file
+    first = lines.where((F.col("start") == 0) & (F.trim("value") != "")).groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    # the path comes back as a URI
+    return {unquote(r.file): settled_names(r.header) for r in first.collect()}
+
+
+def settled_names(header: str) -> tuple[str, ...]:
+    names = next(csv.reader([header.removeprefix("\ufeff")], escapechar="\\"))
+    seen = Counter(n.lower() for n in names)
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if seen[n.lower()] > 1 else n for i, n in enumerate(names))
+
+
 def read_csv_by_header(spark: SparkSession, files: list[str]) -> list[DataFrame]:
     """One DataFrame of text columns per distinct header line of ``files``.
 
     Spark takes the first file's header for all; files that order their columns
     differently would be read by position. Broken rows (too few or too many cells)
     are dropped whichever columns are asked for later: the parser always sees the
-    whole row.
+    whole row. The number of jobs does not depend on the number of files.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in files:
-        names = tuple(spark.read.option("header", True).csv(file).columns)
+    for file, names in sorted(csv_headers(spark, files).items()):
         groups.setdefault(names, []).append(file)
     tables = []
     for names, members in groups.items():

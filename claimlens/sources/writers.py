@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,14 +25,34 @@ def save_table(df: DataFrame, name: str, append: bool = False) -> None:
         df.write.mode("overwrite").saveAsTable(name)
 
 
-def load_partitions(df: DataFrame, path: str, keys=("state", "year")) -> None:
+def load_partitions(df: DataFrame, path: str, keys=("state", "year"), rows_per_file: int = 1_000_000) -> None:
     """Idempotent load: the partitions present in ``df`` are replaced, others stay.
 
-    Rows are spread within a partition value, so one large state is written by
-    many tasks.
+    The rows of every partition value are counted first; a value is then written by one
+    task per ``rows_per_file`` rows, each task writing one value only. So a small value
+    makes one file and a large one is spread by a hash of its rows. There is one count
+    per folder, which is what the folders' listing holds as well.
     """
+    spark, keys = df.sparkSession, list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).collect()
+    if not counts:
+        return
+    plan, offset = [], 0
+    for row in counts:
+        files = max(1, -(-row["__n"] // rows_per_file))
+        plan.append((*[row[k] for k in keys], offset, files))
+        offset += files
+    kinds = ", ".join(f"`__{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    places = spark.createDataFrame(plan, f"{kinds}, __offset int, __files int")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    task = F.col("__offset") + F.pmod(F.xxhash64(*df.columns), F.col("__files")).cast("int")
     (
-        df.write.mode("overwrite")
+        df.join(F.broadcast(places), same)
+        .repartitionById(offset, task)
+        .select(*df.columns)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
         .parquet(path)
@@ -67,12 +87,13 @@ def save_artifact(df: DataFrame, directory: str, name: str) -> None:
     save_parquet(df, f"{directory}/{name}")
 
 
-def save_model(model: GBTClassificationModel, directory: str, name: str) -> None:
+def save_model(model: PipelineModel, directory: str, name: str) -> None:
+    """Store the fitted stages of a training run."""
     model.write().overwrite().save(f"{directory}/{name}")
 
 
-def load_model(directory: str, name: str) -> GBTClassificationModel:
-    return GBTClassificationModel.load(f"{directory}/{name}")
+def load_model(directory: str, name: str) -> PipelineModel:
+    return PipelineModel.load(f"{directory}/{name}")
 
 
 def log_review(spark: SparkSession, path: str, npi: str, decision: str, notes: str = "") -> None:
