@@ -53,7 +53,9 @@ def rounded(df: DataFrame, columns: dict[str, int | None]) -> DataFrame:
 def load_all() -> None:
     """Import the query modules so that they register themselves."""
     from . import (  # noqa: F401
+        queries_checks,
         queries_features,
+        queries_files,
         queries_graph,
         queries_linkage,
         queries_models,

@@ -9,7 +9,7 @@ from ..functions.similarity import ratio_score, token_set_score
 from ..operators import audit, linkage, staging
 from . import testbed
 from .catalog import query, rounded
-from .oracles import block, sql
+from .oracles import block, seeded, sql
 from .queries_summary import providers
 
 CONFIG = linkage.MatchConfig(states=testbed.STATES)
@@ -253,10 +253,43 @@ def name_similarity(spark, d):
     return who.select("npi", F.round(ratio_score("last_name", "first_name"), 6).alias("ratio"))
 
 
-@query("token_set_similarity")
+# the definition for names of any number of tokens: shared tokens first, remainders after
+SHARED = "split_part(p_name, ' ', 1 + p_size % 2) || ' ' || lower(p_type)"
+
+
+def token_set_sql(other: str) -> str:
+    return f"""
+SELECT p_name, p_type, round(CASE
+    WHEN len(s) > 0 AND (len(a) = 0 OR len(b) = 0) THEN 100.0
+    ELSE greatest(100 * (1 - (la + lb - 2 * lcs) / (2 * (ls + gap) + la + lb)),
+        CASE WHEN gap = 1 THEN 100 * (1 - (1 + la) / (2 * ls + 1 + la)) ELSE 0 END,
+        CASE WHEN gap = 1 THEN 100 * (1 - (1 + lb) / (2 * ls + 1 + lb)) ELSE 0 END) END, 6) AS score
+FROM (
+    SELECT *, len(s) AS ls, len(a)::DOUBLE AS la, len(b)::DOUBLE AS lb, CASE WHEN s <> '' THEN 1 ELSE 0 END AS gap,
+           CASE WHEN a = '' OR b = '' THEN 0 ELSE {indel_sql('a', 'b')} * (len(a) + len(b)) / 200 END AS lcs
+    FROM (
+        SELECT p_name, p_type,
+               array_to_string(list_sort(list_filter(x, lambda t: list_contains(y, t))), ' ') AS s,
+               array_to_string(list_sort(list_filter(x, lambda t: NOT list_contains(y, t))), ' ') AS a,
+               array_to_string(list_sort(list_filter(y, lambda t: NOT list_contains(x, t))), ' ') AS b
+        FROM (SELECT p_name, p_type, list_distinct(string_split(p_name, ' ')) AS x, list_distinct(string_split(other, ' ')) AS y
+              FROM (SELECT DISTINCT p_name, p_type, {other} AS other FROM part))))
+"""
+
+
+@query("token_set_similarity", token_set_sql("lower(p_type)"))
 def token_set_similarity(spark, d):
     parts = testbed.table(spark, d, "part").select("p_name", "p_type").distinct()
-    return parts.select("p_name", "p_type", token_set_score("p_name", F.lower("p_type")).alias("score"))
+    return parts.select("p_name", "p_type", F.round(token_set_score("p_name", F.lower("p_type")), 6).alias("score"))
+
+
+@query("token_set_shared", token_set_sql(SHARED))
+def token_set_shared(spark, d):
+    """Names of two tokens against names that share one of them."""
+    part = testbed.table(spark, d, "part")
+    shared = F.split_part("p_name", F.lit(" "), 1 + F.col("p_size") % 2)
+    parts = part.select("p_name", "p_type", F.concat_ws(" ", shared, F.lower("p_type")).alias("other")).distinct()
+    return parts.select("p_name", "p_type", F.round(token_set_score("p_name", "other"), 6).alias("score"))
 
 
 CANDIDATE_SQL = (
@@ -409,9 +442,37 @@ def audit_decisions(spark, d):
     return audit.audit_decisions(audit_report(spark, d))
 
 
-@query("audit_sample")
+_SIZE = "CASE match_tier " + " ".join(f"WHEN {t} THEN {n}" for t, n in audit.SAMPLE_SIZES.items()) + " ELSE 0 END"
+_SAMPLE = [c if not c.endswith("_score") else f"round({c}, 6) AS {c}" for c in audit.AUDIT_COLUMNS]
+
+block(
+    "flagged",
+    ["audited"],
+    """
+    SELECT * EXCLUDE (both_low), coalesce(both_low, FALSE) AS both_low, FALSE AS cross_gender, FALSE AS common_last,
+           coalesce(both_low, FALSE) OR last_too_short AS any_flag
+    FROM audited
+    """,
+)
+
+
+@query(
+    "audit_sample",
+    sql(
+        f"""
+        SELECT {', '.join(_SAMPLE)} FROM (
+            SELECT *, row_number() OVER (PARTITION BY match_tier, any_flag ORDER BY {seeded(7, 'npi', 'leie_row_key')}, npi,
+                          leie_row_key, leie_excltype, leie_specialty) AS r, {_SIZE} AS size,
+                   least(count(*) FILTER (WHERE any_flag) OVER (PARTITION BY match_tier), {_SIZE} // 2) AS taken
+            FROM flagged)
+        WHERE r <= CASE WHEN any_flag THEN taken ELSE size - taken END
+        """,
+        "flagged",
+    ),
+)
 def audit_sample(spark, d):
-    return audit.audit_sample(kept(spark, d))
+    rows = audit.audit_sample(kept(spark, d))
+    return rows.select(*[F.round(c, 6).alias(c) if c.endswith("_score") else c for c in rows.columns])
 
 
 @query(

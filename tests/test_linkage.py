@@ -77,6 +77,72 @@ def test_similar_names_always_share_a_key(threshold):
     assert hits > 30
 
 
+LONG_NAMES = [
+    "SMITH JONATHAN",
+    "DE LA CRUZ RODRIGUEZ MARIA FERNANDA",
+    "A B C D E F G H",
+    "UNIVERSITY HOSPITAL AND MEDICAL CENTER OF THE NORTHERN RIVER VALLEY ASSOCIATES INC",
+    "INTERNATIONAL ASSOCIATION OF CARDIOVASCULAR SPECIALISTS",
+    "X",
+]
+
+
+@pytest.mark.parametrize("threshold", [90, 92])
+def test_a_name_sends_a_few_dozen_keys(threshold):
+    for name in LONG_NAMES:
+        for listed in (True, False):
+            keys = name_keys(name, threshold, listed)
+            assert 0 < len(keys) <= 100, (name, len(keys))
+            assert len(name) > 40 or len(keys) <= 60
+    with pytest.raises(ValueError, match="similarity"):
+        name_keys("SMITH JOHN", 60, True)
+
+
+def test_rarest_parts_and_ranks_lose_no_pair(spark):
+    rng = random.Random(11)
+    words = ["SMITH", "SMYTH", "LEE", "CHRISTOPHER", "ANN", "DE", "LA", "CRUZ", "VAN", "BERG", "J", "HOSPITAL", "CENTER", "OF"]
+    names = set()
+    while len(names) < 260:
+        s = list(" ".join(rng.choices(words, weights=range(1, 15), k=rng.choice([1, 2, 2, 2, 3, 5, 9]))))
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            s.insert(rng.randrange(len(s)), rng.choice("ABZ "))
+        names.add(" ".join("".join(s).split()))
+    names = sorted(names)
+    left, right = names[::2], names[1::2] + names[:20]
+    one = spark.createDataFrame([("TX", n) for n in left], "state string, a string")
+    two = spark.createDataFrame([("TX", n) for n in right], "state string, b string")
+    got = {(r.a, r.b) for r in linkage.similar_names(one, two, "a", "b", 90).collect()}
+    assert got == {(a, b) for a in left for b in right if token_set_ratio(a, b) >= 90} and len(got) > 50
+
+
+def test_counts_equal_the_candidate_rows(spark):
+    """Summary, audit and ambiguity from counts against the same from all candidate rows, business tier included."""
+    rng = random.Random(13)
+    lasts, firsts = ["HERNANDEZ", "HERNANDES", "SMITH", "LEE", "LEA", "WILLIAMSON"], ["JAMES", "JAMIE", "JAMESS", "ANN", "MARIA"]
+    raw = [
+        {
+            "LASTNAME": rng.choice(lasts), "FIRSTNAME": rng.choice(firsts), "STATE": rng.choice(["TX", "NY"]),
+            "NPI": rng.choice(["0000000000", f"{rng.randrange(40):010d}"]), "EXCLDATE": rng.choice(["20200101", "20210101", None]),
+            "BUSNAME": rng.choice([None, "SMITH CLINIC", "LEE"]), "SPECIALTY": rng.choice(["GENERAL", "PHARMACY"]),
+        }
+        for _ in range(120)
+    ]
+    listed = exclusions(spark, raw)
+    prov = providers(spark, [(f"{i:010d}", rng.choice(lasts), rng.choice(firsts), rng.choice(["TX", "NY"])) for i in range(60)]
+                     + [(f"{4 * i + 400:010d}", rng.choice(["LEE", "SMITH"]), "ZOE", rng.choice(["TX", "NY"])) for i in range(8)])
+    prov = prov.withColumn("mart_entity_type", F.when(F.col("npi").cast("long") % 4 == 0, "O").otherwise("I"))
+    config = linkage.MatchConfig(business_tier=True, fuzzy_threshold_t3_first=70, states=("TX", "NY"))
+    pairs = linkage.resolve_conflicts(linkage.run_match(listed, prov, config)).cache()
+    counts = linkage.count_candidates(listed, prov, config)
+    rows = lambda df: sorted(map(str, df.select(*sorted(df.columns)).collect()))
+    assert {r["match_tier"] for r in pairs.select("match_tier").distinct().collect()} == {1, 2, 3, 4}
+    assert rows(linkage.summarize_counts(counts)) == rows(linkage.match_summary(pairs))
+    assert rows(linkage.row_ambiguity(counts)) == rows(pairs.select("leie_row_key", "leie_row_n_candidates").distinct())
+    assert rows(linkage.provider_ambiguity(counts)) == rows(pairs.select("npi", "provider_n_leie_rows").distinct())
+    kept = audit.flag_candidates(pairs.where("keep_for_training"))
+    assert rows(audit.audit_report_by_counts(counts)) == rows(audit.audit_report(kept))
+
+
 def test_sentinel_and_blank_ids_never_match(spark):
     listed = exclusions(
         spark,
@@ -199,6 +265,11 @@ def test_one_name_on_both_sides_stays_linear(spark):
         F.lit("Cardiology").alias("provider_type"),
         F.lit("I").alias("entity_type"),
     )
+    counts = linkage.count_candidates(linkage.load_exclusions(raw), linkage.load_providers(prov))
+    assert [tuple(r) for r in linkage.summarize_counts(counts).collect()] == [(2, n * n, n * n, 0)]
+    report = {r["match_tier"]: (r["n"], r["n_flagged"]) for r in audit.audit_report_by_counts(counts).collect()}
+    assert report == {2: (n * n, 0), None: (n * n, 0)}
+    assert linkage.provider_ambiguity(counts).agg(F.min("provider_n_leie_rows"), F.count("*")).first() == (1000, n)
     labels = linkage.link_labels(linkage.load_exclusions(raw), linkage.load_providers(prov))
     r = labels.agg(F.count("*"), F.min("exclusion_date"), F.max("leie_row_n_candidates"), F.max("provider_n_leie_rows")).first()
     assert tuple(r) == (n, "20200000", n * 20, 1000)

@@ -123,3 +123,42 @@ def test_tables_append_by_name_and_feature_fallback(spark):
         assert readers.read_features(spark, "claimlens_test.full", "claimlens_test.mart").count() == 0
     finally:
         spark.sql("DROP DATABASE claimlens_test CASCADE")
+
+
+def test_a_large_partition_is_written_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "load")
+    rows = spark.range(6010).select(
+        F.when(F.col("id") < 5000, "TX").when(F.col("id") < 6000, "NY").when(F.col("id") < 6007, "RI").alias("state"),
+        F.lit(2022).alias("year"),
+        "id",
+    )
+    writers.load_partitions(rows, path, rows_per_file=1000)
+    files = {s: len(list((tmp_path / "load" / f"state={s}" / "year=2022").glob("*.parquet"))) for s in ("TX", "NY", "RI", "__HIVE_DEFAULT_PARTITION__")}
+    assert files == {"TX": 5, "NY": 1, "RI": 1, "__HIVE_DEFAULT_PARTITION__": 1}
+    writers.load_partitions(rows.where("state = 'NY'").limit(3), path, rows_per_file=1000)
+    back = {r["state"]: r["count"] for r in spark.read.parquet(path).groupBy("state").count().collect()}
+    assert back == {"TX": 5000, "NY": 3, "RI": 7, None: 3}
+    writers.load_partitions(rows.limit(0), path)
+    assert spark.read.parquet(path).count() == 5013
+
+
+def test_headers_are_read_in_one_job_whatever_the_number_of_files(spark, tmp_path):
+    def jobs(n):
+        folder = tmp_path / f"n{n} x%y"
+        folder.mkdir()
+        for i in range(n):
+            (folder / f"f{i}.csv").write_text(f"\n  \nNPI,LASTNAME{',X' * (i % 2)}\n{i},DOE{',z' * (i % 2)}\n")
+        (folder / "empty.csv").write_text("")
+        files = readers.csv_files(spark, [str(folder)])
+        spark.sparkContext.setJobGroup(f"headers{n}", "")
+        found = readers.csv_headers(spark, files)
+        ids = spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers{n}")
+        assert sorted(set(found.values())) == [("NPI", "LASTNAME"), ("NPI", "LASTNAME", "X")] and len(found) == n
+        assert {r["NPI"] for r in readers.read_exclusions(spark, str(folder)).select("NPI").collect()} == {str(i) for i in range(n)}
+        return len(ids)
+
+    assert jobs(3) == jobs(17)
+
+
+def test_header_names_are_settled():
+    assert readers.settled_names('\ufeff"A b",c,,C,"x, y"') == ("A b", "c1", "_c2", "C3", "x, y")
