@@ -27,16 +27,15 @@ def stored(df: DataFrame) -> DataFrame:
     return out
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables made by ``stored`` that no plan reads any more."""
     for table in tables:
-        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def text_of(column: str = "text") -> Column:
-    """The text, null as the empty text."""
-    return F.coalesce(F.col(column), F.lit(""))
+        remove_folder(table.sparkSession, table.stored_at)
 
 
 def free_name(df: DataFrame, name: str) -> str:
@@ -63,4 +62,4 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-__all__ = ["arrow_map", "discard", "free_name", "materialize", "shuffle_width", "stored", "text_of", "work_folder"]
+__all__ = ["arrow_map", "discard", "free_name", "materialize", "remove_folder", "shuffle_width", "stored", "text_of", "work_folder"]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.llm import bpe, jaccard, lines, mixing, queries, repetition
-from claimlens.llm.frames import free_name, work_folder
+from claimlens.llm.frames import free_name, remove_folder, work_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,11 +55,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written to the shared folder and read again."""
+    """All stages, each written to the shared folder and read again; a stage's rows go once the next one is written."""
     folder = f"{work_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         out = f"{folder}/{k}"
         stage(spark, docs, sf_dir).write.parquet(out)
+        if k:
+            remove_folder(spark, f"{folder}/{k - 1}")
         docs = spark.read.parquet(out)
     return docs
