@@ -134,3 +134,39 @@ def test_clustering_counts_providers_with_equal_sets(spark):
 def test_minmax_of_a_constant_is_zero(spark):
     df = scoring.min_max_columns(spark.createDataFrame([(2.0,), (2.0,)], "v double"), {"s": "v"})
     assert [r["s"] for r in df.collect()] == [0.0, 0.0]
+
+
+def test_blocks_without_a_common_code_are_never_compared(spark):
+    """Four clusters of providers with codes of their own: same result, few units."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(160):
+        codes = rng.choice(8, int(rng.integers(1, 6)), replace=False)
+        rows += [(f"{i:010d}", f"g{i % 4}c{c}", 0.1) for c in codes]
+    edges = spark.createDataFrame(rows, "npi string, hcpcs_code string, weight double")
+    sets = {}
+    for npi, code, _ in rows:
+        sets.setdefault(npi, set()).add(code)
+    want = {}
+    for a, x in sets.items():
+        shared = [len(x & y) / len(x | y) for b, y in sets.items() if b != a and x & y]
+        want[a] = sum(shared) / len(shared) if shared else 0.0
+    got = {r["npi"]: r["graph_clustering"] for r in graph.graph_clustering(edges, block_sets=5).collect()}
+    assert got == pytest.approx(want)
+    folded = edges.groupBy("npi").agg(F.array_sort(F.collect_set("hcpcs_code")).alias("codes")).groupBy("codes").agg(F.count("*").alias("m"))
+    placed = graph.set_blocks(folded.withColumn("s", F.md5(F.to_json("codes"))), 5).cache()
+    blocks = placed.select("b").distinct().count()
+    pairs = graph.block_pairs(placed)
+    assert blocks > 8 and len(pairs) < 0.5 * blocks * (blocks + 1) / 2
+    assert len(pairs) == len(set(pairs)) and all(i <= j for i, j in pairs)
+
+
+def test_pagerank_stops_at_the_same_step_on_codes_and_on_edges(spark):
+    rng = np.random.default_rng(5)
+    rows = {(f"{i:010d}", f"c{rng.integers(12)}"): float(rng.uniform(0.02, 1)) for i in range(40) for _ in range(3)}
+    edges = spark.createDataFrame([(*k, w) for k, w in rows.items()], "npi string, hcpcs_code string, weight double").cache()
+    codes = sorted({c for _, c in rows})
+    for tol, steps in ((1e-3, 30), (None, 5)):
+        one = {r[0]: r[1] for r in graph.pagerank_on_codes(edges, codes, 0.85, steps, tol).collect()}
+        two = {r[0]: r[1] for r in graph.pagerank_by_steps(edges, 0.85, steps, tol).collect()}
+        assert one == pytest.approx(two, abs=1e-13), tol
