@@ -13,6 +13,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "stage_claims", "claims_summary", "hcpcs_mix", "specialty_benchmarks", "feature_mart", "jsd_vs_specialty",
     "zip_entropy", "billing_velocity", "final_labels", "audit_report", "graph_clustering", "graph_pagerank",
+    "graph_degrees", "graph_score", "audit_sample", "audit_name_rules", "token_set_similarity", "review_log",
     "risk_table", "average_precision", "lift_at_pct", "specialty_risk", "flatten_registry", "partition_load",
 ]
 
