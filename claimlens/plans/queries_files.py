@@ -19,26 +19,17 @@ from .queries_linkage import CONFIG, kept, listed, names
 from .queries_sources import scratch
 
 
-def lines_of(df: DataFrame) -> DataFrame:
-    """Rows as lines of a CSV file, every cell quoted."""
-    cells = [F.concat(F.lit('"'), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")), F.lit('"')) for c in df.columns]
-    return df.select(F.concat_ws(",", *cells).alias("value"))
-
-
-def save_files(df: DataFrame, path: str, name_part: str = "part") -> None:
-    """CSV text in two orders of columns, with rows of too few and too many cells in between.
-
-    Every file opens with its header: a task writes one file, in order, and there is
-    one task per order.
-    """
-    spark = df.sparkSession
+def save_files(df: DataFrame, path: str) -> list[str]:
+    """CSV folders in two orders of columns, and files of broken rows (too few, too many cells) for both."""
+    folders = []
     for k, columns in enumerate((df.columns, df.columns[::-1])):
-        part = lines_of(df.where(F.pmod(F.xxhash64(df.columns[0]), F.lit(2)) == k).select(*columns))
-        broken = part.limit(3).select(F.explode(F.array(F.lit('"cut"'), F.concat("value", F.lit(',"more","cells"')))).alias("value"))
-        header = spark.range(1).select(F.lit(",".join(f'"{c}"' for c in columns)).alias("value"))
-        body = part.unionByName(broken).withColumn("at", F.lit(1))
-        rows = header.withColumn("at", F.lit(0)).unionByName(body).repartition(1).sortWithinPartitions("at").select("value")
-        rows.write.text(f"{path}/{name_part}_{k}", compression="none")
+        part = df.where(F.pmod(F.xxhash64(df.columns[0]), F.lit(2)) == k).select(*columns)
+        part.write.option("header", True).csv(f"{path}/rows_{k}")
+        lines = [",".join(columns), '"cut"', ",".join(["more"] * (len(columns) + 2))]
+        broken = df.sparkSession.createDataFrame([(line,) for line in lines], "value string")
+        broken.coalesce(1).write.text(f"{path}/broken_{k}")
+        folders += [f"{path}/rows_{k}", f"{path}/broken_{k}"]
+    return folders
 
 
 @query(
@@ -53,8 +44,7 @@ def exclusions_files(spark, d):
     """The exclusion list from files that order their columns differently and hold broken rows."""
     path = scratch(spark)
     raw = testbed.raw_exclusions(spark, d).select([c for c in EXCLUSION_COLUMNS if c != "DOB"])
-    save_files(raw, path)
-    found = readers.read_exclusions(spark, f"{path}/*/*.txt")
+    found = readers.read_exclusions(spark, *save_files(raw, path))
     return found.select(F.trim("LASTNAME").alias("LASTNAME"), "NPI", "EXCLTYPE", "EXCLDATE")
 
 
