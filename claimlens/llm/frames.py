@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from claimlens.functions.checkpoints import materialize, work_folder
 
+from .words import release
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -52,13 +54,14 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def arrow_map(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``work`` on every record batch, without a shuffle."""
+    """``work`` on every record batch, without a shuffle; a task gives its memory back."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             out = work(batch)
             if out is not None:
                 yield out
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -88,6 +88,7 @@ def _sketches(batches: Batches, length: int) -> Batches:
                 ],
                 names=["doc_id", "k1", "name", "size", "least"],
             )
+    release()
 
 
 def _split(rows: DataFrame) -> DataFrame:
