@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,6 +162,29 @@ def test_blocks_without_a_common_code_are_never_compared(spark):
     assert len(pairs) == len(set(pairs)) and all(i <= j for i, j in pairs)
 
 
+def test_clustering_sends_blocks_packed(spark, monkeypatch):
+    """A set travels as a byte per code, and tiles smaller than a block or the codes change nothing."""
+    rng = np.random.default_rng(9)
+    sets = {f"{i:010d}": sorted({f"code number {c}" for c in rng.choice(30, int(rng.integers(1, 12)))}) for i in range(90)}
+    edges = spark.createDataFrame([(n, c, 0.1) for n, cs in sets.items() for c in cs], EDGES)
+    rows = [(f"s{i}", c, 1) for i, c in enumerate(sets.values())]
+    packed = graph.pack_blocks(graph.set_blocks(spark.createDataFrame(rows, "s string, codes array<string>, m long"), 40)).collect()
+    assert len(packed) < 6 and sum(len(r["s"]) for r in packed) == 90
+    assert sum(len(r["owner"]) for r in packed) == sum(map(len, sets.values()))
+    want = {}
+    for a, x in sets.items():
+        shared = [len({*x} & {*y}) / len({*x} | {*y}) for b, y in sets.items() if b != a and {*x} & {*y}]
+        want[a] = sum(shared) / len(shared) if shared else 0.0
+    assert {r["npi"]: r["graph_clustering"] for r in graph.graph_clustering(edges, block_sets=40).collect()} == pytest.approx(want)
+    packing = graph._packed(pd.DataFrame(rows, columns=["s", "codes", "m"]).assign(b=0)).iloc[0].to_dict()
+    whole = graph._overlaps(packing, None)
+    monkeypatch.setattr(graph, "TILE", (7, 16, 5))
+    assert all(np.allclose(a, b) for a, b in zip(whole[0][1:], graph._overlaps(packing, None)[0][1:]))
+    (_, left, _), (_, right, _) = graph._overlaps(packing, packing)
+    twice = whole[0][1] + 1
+    assert np.allclose(left, twice) and np.allclose(right, twice)
+
+
 def test_pagerank_stops_at_the_same_step_on_codes_and_on_edges(spark):
     rng = np.random.default_rng(5)
     rows = {(f"{i:010d}", f"c{rng.integers(12)}"): float(rng.uniform(0.02, 1)) for i in range(40) for _ in range(3)}
