@@ -87,11 +87,12 @@ def claims_append(spark, d):
     path, database = scratch(spark), f"raw_{uuid.uuid4().hex}"
     raw = testbed.raw_claims(spark, d).drop("HCPCS_Desc")
     first = F.trim("Rndrng_Prvdr_State_Abrvtn") < "12"
-    raw.where(first).write.json(f"{path}/a")
-    raw.where(~first).write.json(f"{path}/b")
+    # the lines are joined once for both halves
+    halves = raw.where(first.isNotNull()).withColumn("half", F.when(first, "a").otherwise("b"))
+    writers.save_json(halves, path, by=("half",), compression="gzip")
     writers.create_layers(spark, [database])
-    writers.save_table(readers.read_claims(spark, f"{path}/a"), f"{database}.claims")
-    writers.save_table(readers.read_claims(spark, f"{path}/b"), f"{database}.claims", append=True)
+    writers.save_table(readers.read_claims(spark, f"{path}/half=a"), f"{database}.claims")
+    writers.save_table(readers.read_claims(spark, f"{path}/half=b"), f"{database}.claims", append=True)
     rows = readers.read_table(spark, f"{database}.claims")
     return rows.groupBy(F.trim("Rndrng_Prvdr_State_Abrvtn").alias("state")).agg(
         F.count(F.lit(1)).alias("rows"),

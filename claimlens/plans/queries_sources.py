@@ -75,8 +75,8 @@ def claims_file_counts(spark, d):
     """Claims written as one JSON folder per state, read back and counted per file."""
     path = scratch(spark)
     raw = testbed.raw_claims(spark, d)
-    raw.withColumn("st", F.trim("Rndrng_Prvdr_State_Abrvtn")).write.partitionBy("st").json(path)
-    counts = readers.file_row_counts(spark, f"{path}/*/*.json")
+    writers.save_json(raw.withColumn("st", F.trim("Rndrng_Prvdr_State_Abrvtn")), path, by=("st",), compression="gzip")
+    counts = readers.file_row_counts(spark, f"{path}/*/*.json*")
     state = F.regexp_extract("file", "st=([^/]*)/", 1)
     return counts.groupBy(state.alias("provider_state")).agg(F.sum("rows").alias("rows"))
 

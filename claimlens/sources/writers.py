@@ -67,8 +67,9 @@ def save_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def save_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+def save_json(df: DataFrame, path: str, by: tuple[str, ...] = (), compression: str = "none") -> None:
+    """JSON lines, in folders per value of ``by``; a large table is worth compressing, as every line repeats all names."""
+    df.write.mode("overwrite").option("compression", compression).partitionBy(*by).json(path)
 
 
 def save_match_outputs(candidates: DataFrame, labels: DataFrame, directory: str) -> None:

@@ -162,3 +162,13 @@ def test_headers_are_read_in_one_job_whatever_the_number_of_files(spark, tmp_pat
 
 def test_header_names_are_settled():
     assert readers.settled_names('\ufeff"A b",c,,C,"x, y"') == ("A b", "c1", "_c2", "C3", "x, y")
+
+
+def test_json_of_a_large_table_is_compressed_and_split_by_folder(spark, tmp_path):
+    rows = spark.range(2000).select(F.col("id").cast("string").alias("Rndrng_NPI"), (F.col("id") % 2).alias("half"))
+    writers.save_json(rows, f"{tmp_path}/small", by=("half",))
+    writers.save_json(rows, f"{tmp_path}/packed", by=("half",), compression="gzip")
+    size = {k: sum(f.stat().st_size for f in tmp_path.glob(f"{k}/half=*/*.json*")) for k in ("small", "packed")}
+    assert size["packed"] < 0.5 * size["small"]
+    assert readers.read_claims(spark, f"{tmp_path}/packed/half=1").count() == 1000
+    assert readers.file_row_counts(spark, f"{tmp_path}/packed/*/*.json*").agg(F.sum("rows")).first()[0] == 2000
