@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from claimlens.functions import checkpoints
 from claimlens.operators import features, graph, scoring, summary
 
 MIX = "npi string, hcpcs_code string, provider_type string, hcpcs_fraction double"
@@ -162,6 +163,20 @@ def test_blocks_without_a_common_code_are_never_compared(spark):
     assert len(pairs) == len(set(pairs)) and all(i <= j for i, j in pairs)
 
 
+def test_shuffles_widen_with_the_rows_of_a_table(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:
+        checkpoints.widen(spark.range(100), task_rows=1000)
+        assert spark.conf.get(key) == before
+        checkpoints.widen(spark.range(10_001), task_rows=1000)
+        assert spark.conf.get(key) == "11"
+        checkpoints.widen(spark.range(100), task_rows=50)
+        assert spark.conf.get(key) == "11"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_clustering_sends_blocks_packed(spark, monkeypatch):
     """A set travels as a byte per code, and tiles smaller than a block or the codes change nothing."""
     rng = np.random.default_rng(9)
