@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from .frames import Batches, text_of
-from .words import BYTE_BASE, BYTE_VALUE, U64, Powers, flat, mix, pieces, span_hash, spans
+from .words import BYTE_BASE, BYTE_VALUE, U64, Powers, flat, mix, pieces, release, span_hash, spans
 
 # the splitting pattern that ``Cutter`` carries out with array operations
 KNOWN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -30,6 +30,8 @@ CACHE_PIECES = 200_000
 LONG_PIECE = 48
 MEMO = 1 << 20
 CACHE_PAIRS = 1_000_000
+# text encoded at a time; the tables for it take about a hundred times as much
+ENCODE_BYTES = 1 << 20
 
 
 def load_ranks(lines: bytes) -> dict[bytes, int]:
@@ -243,7 +245,8 @@ class Encoder:
         self.token_size = np.array([len(self.token.get(i, b"")) for i in range(last)], np.int64)
         self.token_at = np.concatenate([[0], np.cumsum(self.token_size)[:-1]]).astype(np.int64)
         self.token_data = np.frombuffer(b"".join(self.token.get(i, b"") for i in range(last)), np.uint8)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        # by left token << 32 | right token: a number takes a third of the memory of a pair
+        self.pairs: dict[int, bool] = {}
         self.alone: dict[int, bool] = {}
         self.known: dict[bytes, bytes] = {}
         self.joins: Joins | None = None
@@ -269,11 +272,12 @@ class Encoder:
             if right not in self.alone:
                 self.alone[right] = self.merged(self.token[right]) == [right]
             return self.alone[right]
-        if (left, right) not in self.pairs:
+        key = int(left) << 32 | int(right)
+        if key not in self.pairs:
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            self.pairs[left, right] = self.merged(self.token[left] + self.token[right]) == [left, right]
-        return self.pairs[left, right]
+            self.pairs[key] = self.merged(self.token[left] + self.token[right]) == [left, right]
+        return self.pairs[key]
 
     def append(self, state: Prefixes, more: bytes) -> Prefixes:
         """Extend ``state`` in place by the bytes of the same piece; earlier entries stay as they are."""
@@ -411,7 +415,7 @@ def encode_documents(
     def run(batches: Batches) -> Batches:
         engine = encoder(lines.value, pattern)
         for batch in batches:
-            for piece in pieces(batch, "__text"):
+            for piece in pieces(batch, "__text", ENCODE_BYTES):
                 ids, first = engine.encode_many(piece.column("__text"))
                 decoded = engine.decode(ids).tobytes()
                 at = np.zeros(len(ids) + 1, np.int64)
@@ -428,6 +432,9 @@ def encode_documents(
                     columns.append(pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int32))))
                     out.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=out)
+                # nothing of this piece stays while the next one is worked on
+                del piece, ids, first, decoded, at, raw, edges, columns
+            release()
 
     schema = f"{fields}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     return rows.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))

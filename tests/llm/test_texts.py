@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from llm_rows import LONG, ODD
 
-from claimlens.llm import bpe, fingerprint, queries, repeats, repetition
+from claimlens.llm import bpe, fingerprint, queries, repeats, repetition, words
 from claimlens.llm.words import Texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -175,3 +175,12 @@ def test_other_patterns_use_the_library_of_patterns():
 
 def test_long_texts_are_whole():
     assert len(LONG.split()) == 30000
+
+
+def test_encoding_holds_little_at_a_time():
+    texts = pa.RecordBatch.from_pydict({"__text": ["ab " * 200_000] * 3})
+    assert [p.num_rows for p in words.pieces(texts, "__text", bpe.ENCODE_BYTES)] == [1, 1, 1]
+    engine = bpe.Encoder(bpe.load_ranks(queries.vocabulary()), public_tokenizers.PATTERN)
+    engine.encode("unbelievably reorganised tokenisations")
+    assert engine.fits(97, 98) == (engine.merged(engine.token[97] + engine.token[98]) == [97, 98])
+    assert engine.pairs and all(isinstance(k, int) for k in engine.pairs)
