@@ -250,9 +250,12 @@ def match_fuzzy_name(
     listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
 ) -> DataFrame:
     """Tier 3 candidate rows."""
-    pairs = fuzzy_name_pairs(listed, providers, config).drop("mart_first_norm")
+    return fuzzy_rows(listed, providers, fuzzy_name_pairs(listed, providers, config))
+
+
+def fuzzy_rows(listed: DataFrame, providers: DataFrame, pairs: DataFrame) -> DataFrame:
     return (
-        listed.join(pairs, NAME)
+        listed.join(pairs.drop("mart_first_norm"), NAME)
         .join(providers, "npi")
         .withColumn("match_tier", F.lit(3))
     )
@@ -283,47 +286,39 @@ def match_business(
     listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()
 ) -> DataFrame:
     """Tier 4 candidate rows."""
+    return business_rows(listed, providers, business_pairs(listed, providers, config))
+
+
+def business_rows(listed: DataFrame, providers: DataFrame, pairs: DataFrame) -> DataFrame:
     return (
-        listed.join(business_pairs(listed, providers, config), BUSINESS)
+        listed.join(pairs, BUSINESS)
         .join(providers, "npi")
         .withColumn("match_tier", F.lit(4))
     )
 
 
-def add_ambiguity(matches: DataFrame) -> DataFrame:
-    """Providers per list row and distinct list rows per provider."""
-    keyed = matches.withColumn("leie_row_key", row_key())
-    per_row = keyed.groupBy("leie_row_key").agg(F.count("npi").alias("leie_row_n_candidates"))
-    per_npi = (
-        keyed.select("npi", "leie_row_key")
-        .distinct()
-        .groupBy("npi")
-        .agg(F.count(F.lit(1)).alias("provider_n_leie_rows"))
-    )
-    return keyed.join(per_row, "leie_row_key").join(per_npi, "npi")
-
-
 def run_match(listed: DataFrame, providers: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """All candidate rows of the tier cascade with their ambiguity counts.
 
-    The two inputs are stored first because every tier reads them again.
+    The counts are known before a pair is formed and travel with the two sides, so the
+    candidate rows, which grow with the square of a name's rows, are not exchanged. The
+    two inputs are stored first because every tier reads them again.
     """
     listed, providers = materialize(listed), materialize(providers)
-    people = individuals(listed)
-    after1 = unmatched_by_npi(listed, providers)
-    after2 = unmatched_by_name(people, after1)
+    counts = count_candidates(listed, providers, config)
+    rows = materialize(listed.withColumn("leie_row_key", row_key()).join(row_ambiguity(counts), "leie_row_key"))
+    known = materialize(providers.join(provider_ambiguity(counts), "npi"))
     parts = [
-        match_npi(listed, providers),
-        match_exact_name(people, after1),
-        match_fuzzy_name(people, after2, config),
+        match_npi(rows, known),
+        match_exact_name(individuals(rows), unmatched_by_npi(listed, known)),
+        fuzzy_rows(individuals(rows), known, counts.fuzzy),
     ]
-    if config.business_tier:
-        after3 = after2.join(parts[2].select("npi"), "npi", "left_anti")
-        parts.append(match_business(businesses(listed), after3, config))
+    if counts.business is not None:
+        parts.append(business_rows(businesses(rows), known, counts.business))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part, allowMissingColumns=True)
-    return add_ambiguity(out)
+    return out
 
 
 def keep_for_training(tier="match_tier", candidates="leie_row_n_candidates") -> Column:

@@ -273,3 +273,30 @@ def test_one_name_on_both_sides_stays_linear(spark):
     labels = linkage.link_labels(linkage.load_exclusions(raw), linkage.load_providers(prov))
     r = labels.agg(F.count("*"), F.min("exclusion_date"), F.max("leie_row_n_candidates"), F.max("provider_n_leie_rows")).first()
     assert tuple(r) == (n, "20200000", n * 20, 1000)
+
+
+def test_candidate_rows_are_not_exchanged_for_their_counts(spark):
+    raw = [{"LASTNAME": "SMITH", "FIRSTNAME": "JOHN", "STATE": "TX", "NPI": "0000000000", "EXCLDATE": f"2020010{i}"} for i in range(3)]
+    prov = providers(spark, [(f"{i:010d}", "Smith", "John", "TX") for i in range(4)])
+    pairs = linkage.run_match(exclusions(spark, raw), prov)
+    # the tiers are laid side by side, and that is all that happens to a pair
+    assert pairs._jdf.queryExecution().optimizedPlan().nodeName() == "Union"
+    found = pairs.groupBy("match_tier", "leie_row_n_candidates", "provider_n_leie_rows").count().collect()
+    assert [tuple(r) for r in found] == [(2, 4, 3, 12)]
+
+
+def test_the_sample_is_the_first_rows_of_each_tier_and_flag(spark):
+    from claimlens.functions.columns import seeded
+
+    n = F.col("id")
+    rows = spark.range(900).select(
+        F.format_string("%05d", "id").alias("npi"), F.format_string("K%d", n % 7).alias("leie_row_key"),
+        (n % 4 + 1).cast("int").alias("match_tier"), (n % 9 == 0).alias("any_flag"),
+    )
+    got = {tuple(r) for r in audit.audit_sample(rows, {1: 6, 2: 5, 3: 4}, 3).select("match_tier", "any_flag", "npi").collect()}
+    every = rows.withColumn("h", seeded(3, "npi", "leie_row_key")).orderBy("h", "npi").collect()
+    wanted = set()
+    for tier, size in {1: 6, 2: 5, 3: 4}.items():
+        for flag, take in ((True, size // 2), (False, size - size // 2)):
+            wanted |= {(tier, flag, r.npi) for r in [r for r in every if r.match_tier == tier and r.any_flag == flag][:take]}
+    assert got == wanted
