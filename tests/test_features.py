@@ -177,6 +177,22 @@ def test_shuffles_widen_with_the_rows_of_a_table(spark):
         spark.conf.set(key, before)
 
 
+def test_adaptive_execution_does_not_merge_what_was_widened(spark):
+    keys = "spark.sql.shuffle.partitions", checkpoints.MERGE_UP_TO
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.unset(checkpoints.MERGE_UP_TO)
+        lines = checkpoints.widen(spark.range(8_000_000).select(*[F.xxhash64("id", F.lit(i)).alias(f"c{i}") for i in range(3)]))
+        tasks = lines.repartition("c0").groupBy(F.spark_partition_id()).agg(F.count("c0").alias("n"), F.max("c1"), F.max("c2"))
+        assert max(r["n"] for r in tasks.collect()) < 1.2 * checkpoints.TASK_ROWS
+        spark.conf.set(checkpoints.MERGE_UP_TO, "32m")
+        checkpoints.widen(lines)
+        assert spark.conf.get(checkpoints.MERGE_UP_TO) == "32m"
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_clustering_sends_blocks_packed(spark, monkeypatch):
     """A set travels as a byte per code, and tiles smaller than a block or the codes change nothing."""
     rng = np.random.default_rng(9)
