@@ -8,6 +8,8 @@ import os
 import __spark_entry__ as entry
 import harness
 import pytest
+from claimlens.plans import queries_graph, testbed
+from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
 NAMES = [
@@ -32,3 +34,27 @@ def test_query_equals_oracle(spark, duck, name):
 def test_registry_is_consistent():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(NAMES) <= set(entry.oracle_sql())
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not mounted")
+def test_edges_are_stored_by_provider(spark):
+    """Degrees, ranks and communities group the stored edges without another shuffle."""
+    assert "Exchange" not in plan_of(queries_graph.edges(spark, SF).groupBy("npi").agg(F.count("hcpcs_code")))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not mounted")
+def test_claim_lines_are_joined_without_sorting_them(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        plan = plan_of(testbed.claims(spark, SF))
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        # lookup tables above the broadcast limit are joined by sorting, the orders of the lines still by hashing
+        spark.conf.set(key, "-1")
+        assert "ShuffledHashJoin [l_orderkey" in plan_of(testbed.claims(spark, SF))
+    finally:
+        spark.conf.set(key, before)
