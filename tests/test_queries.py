@@ -8,6 +8,7 @@ import os
 import __spark_entry__ as entry
 import harness
 import pytest
+from claimlens.operators import summary
 from claimlens.plans import queries_graph, testbed
 from pyspark.sql import functions as F
 
@@ -58,3 +59,14 @@ def test_claim_lines_are_joined_without_sorting_them(spark):
         assert "ShuffledHashJoin [l_orderkey" in plan_of(testbed.claims(spark, SF))
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test data not mounted")
+def test_the_suite_checks_the_tables_of_the_mart(spark, monkeypatch):
+    """Provider summary and benchmarks are worked out once, for the mart and its constraints."""
+    calls = []
+    for name in ("claims_summary", "specialty_benchmarks"):
+        real = getattr(summary, name)
+        monkeypatch.setattr(summary, name, lambda *a, real=real, name=name: calls.append(name) or real(*a))
+    queries_graph.suite_tables(spark, SF)
+    assert sorted(calls) == ["claims_summary", "specialty_benchmarks"]
