@@ -193,6 +193,23 @@ def test_adaptive_execution_does_not_merge_what_was_widened(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_codes_are_counted_in_the_fold_by_provider(spark):
+    text = ["npi", "hcpcs_code", *summary.CELL_ATTRIBUTES, "provider_type", "provider_zip5"]
+    rows = [("a", c, *"LFISG", "T", z) for c, z in [("x", "1"), ("x", "2"), ("y", "1"), (None, "1")]] + [("b", None, *"LFISG", None, "9")]
+    lines = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in text)).withColumns(
+        {c: F.lit("O") for c in ("place_of_service", "hcpcs_drug_indicator")}
+        | {c: F.lit(1.0) for c in ("total_services", "total_beneficiaries", "total_beneficiary_day_services", "avg_submitted_charge",
+                                   "avg_medicare_payment_amt", "avg_medicare_allowed_amt", "avg_medicare_standardized_amt")}
+    )
+    cells = checkpoints.materialize(summary.billing_cells(lines))
+    found = summary.claims_summary(cells)
+    assert {r["npi"]: r["unique_hcpcs_codes"] for r in found.collect()} == {"a": 2, "b": 0}
+    assert dict(found.dtypes)["unique_hcpcs_codes"] == "bigint"
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    # one fold by provider, not one by provider and code before it
+    assert plan.count("Aggregate(") == 2
+
+
 def test_clustering_sends_blocks_packed(spark, monkeypatch):
     """A set travels as a byte per code, and tiles smaller than a block or the codes change nothing."""
     rng = np.random.default_rng(9)
