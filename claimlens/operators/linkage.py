@@ -113,11 +113,42 @@ def same_name() -> Column:
     return test
 
 
+# candidate rows, of some 260 bytes in a sort, that one task should form
+TASK_PAIRS = 500_000
+# tasks over which the providers of one name are dealt at most; list rows are copied as often
+MOST_SLICES = 16
+
+
+def pair_counts(listed: DataFrame, providers: DataFrame) -> tuple[int, int]:
+    """How many rows ``match_exact_name`` gives, and how many for its largest name."""
+    rows = listed.where(filled(*NAME)).groupBy(*NAME).agg(F.count(F.lit(1)).alias("__rows"))
+    people = providers.where(filled(*PROVIDER_NAME)).groupBy(*PROVIDER_NAME).agg(F.count(F.lit(1)).alias("__people"))
+    n = F.col("__rows") * F.col("__people")
+    found = rows.join(people, same_name()).agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    return found[0], found[1]
+
+
 def match_exact_name(listed: DataFrame, providers: DataFrame) -> DataFrame:
-    """Tier 2 candidate rows: every list row with every provider of its name."""
+    """Tier 2 candidate rows: every list row with every provider of its name.
+
+    Their number grows with the square of a name's rows, so it is counted first and decides
+    the number of tasks; the providers of large names are dealt over several tasks, each
+    with all list rows of the name.
+    """
+    rows, people = listed.where(filled(*NAME)), providers.where(filled(*PROVIDER_NAME))
+    pairs, largest = pair_counts(listed, providers)
+    same = same_name()
+    if pairs > TASK_PAIRS:
+        tasks = max(-(-pairs // TASK_PAIRS), int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        # four parts of names a task, so that hashing deals them evenly
+        slices = max(1, min(MOST_SLICES, -(-4 * largest // TASK_PAIRS)))
+        rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).repartition(tasks, *NAME, "__copy")
+        people = people.withColumn("__slice", F.pmod(F.xxhash64("npi"), F.lit(slices)).cast("int"))
+        people = people.repartition(tasks, *PROVIDER_NAME, "__slice")
+        same = same & (F.col("__copy") == F.col("__slice"))
     return (
-        listed.where(filled(*NAME))
-        .join(providers.where(filled(*PROVIDER_NAME)), same_name())
+        rows.join(people, same)
+        .drop("__copy", "__slice")
         .withColumns({"match_tier": F.lit(2), "similarity_score": F.lit(100.0)})
     )
 

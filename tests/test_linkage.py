@@ -300,3 +300,21 @@ def test_the_sample_is_the_first_rows_of_each_tier_and_flag(spark):
         for flag, take in ((True, size // 2), (False, size - size // 2)):
             wanted |= {(tier, flag, r.npi) for r in [r for r in every if r.match_tier == tier and r.any_flag == flag][:take]}
     assert got == wanted
+
+
+def test_pairs_of_a_name_are_dealt_over_tasks(spark, monkeypatch):
+    """No task forms much more than its share of the pairs, and none is lost."""
+    listed = spark.range(60).select(
+        F.concat(F.lit("l"), "id").alias("leie_row_key"), F.lit("DOE").alias("leie_last_norm"),
+        F.lit("ANN").alias("leie_first_norm"), F.lit("TX").alias("leie_state_norm"),
+    )
+    providers = spark.range(1000).select(
+        F.lpad(F.col("id").cast("string"), 10, "0").alias("npi"), F.lit("DOE").alias("mart_last_norm"),
+        F.lit("ANN").alias("mart_first_norm"), F.lit("TX").alias("mart_state_norm"),
+    )
+    monkeypatch.setattr(linkage, "TASK_PAIRS", 10_000, raising=False)
+    out = linkage.match_exact_name(listed, providers)
+    assert set(out.columns) == {*listed.columns, *providers.columns, "match_tier", "similarity_score"}
+    shares = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == out.select("leie_row_key", "npi").distinct().count() == 60_000
+    assert max(shares) <= 30_000
