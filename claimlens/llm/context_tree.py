@@ -12,6 +12,7 @@ aggregation over the corpus.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .frames import Batches, shuffle_width, stored, text_of
+from .frames import Batches, shuffle_width, small_batches, stored, text_of
 from .words import U64, Texts, lowered, mix, pieces, release
 
 # no UTF-8 text holds this byte: it stands before the first and after the last one
@@ -86,49 +87,62 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Branch:
-    """The parts of the tree under some two-byte contexts, from depth 2 down."""
+    """The parts of the tree under some two-byte contexts, from depth 2 down.
+
+    Nodes that differ in the bits decided never meet, so the eight decisions of a
+    byte are worked on one after another and hold an eighth of the memory.
+    """
 
     def __init__(self, key: np.ndarray, count: np.ndarray):
-        byte = (key & U64(0xFF)).astype(np.int64)
-        context = (key >> U64(8)).astype(np.int64)
-        self.last = context & 0xFF
-        bits = np.arange(8)
-        # rows: grams, columns: the eight decisions
-        self.node = (1 << bits) | (byte[:, None] >> (8 - bits))
-        self.bit = (byte[:, None] >> (7 - bits)) & 1
-        weight = np.repeat(count.astype(np.float64), 8)
-        one = self.bit.reshape(-1).astype(bool)
+        self.byte = (key & U64(0xFF)).astype(np.int64)
+        self.context = (key >> U64(8)).astype(np.int64)
+        self.weight = count.astype(np.float64)
+
+    def decision(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(bits decided before decision ``k`` behind a one, flag for a one as the bit) of each gram."""
+        return (1 << k) | (self.byte >> (8 - k)), (self.byte >> (7 - k) & 1).astype(bool)
+
+    def levels(self, node: np.ndarray, one: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """From ``DEPTH`` to depth 2: place of each gram, then by place the node, its zeros, ones, log weighted probability and posterior weight."""
         below = None
-        self.levels = []
         for depth in range(DEPTH, 1, -1):
-            inner = context & ((1 << (8 * depth)) - 1)
-            ids = (inner[:, None] << 8 | self.node).reshape(-1)
-            nodes, at = np.unique(ids, return_inverse=True)
-            zeros = np.bincount(at, np.where(one, 0, weight), len(nodes))
-            ones = np.bincount(at, np.where(one, weight, 0), len(nodes))
-            own = estimate(zeros, ones)
-            if below is None:
-                total, stop = own, np.ones(len(nodes))
-            else:
+            mask = (1 << (8 * depth)) - 1
+            nodes, at = np.unique((self.context & mask) << 8 | node, return_inverse=True)
+            zeros = np.bincount(at, np.where(one, 0, self.weight), len(nodes))
+            ones = np.bincount(at, np.where(one, self.weight, 0), len(nodes))
+            total, stop = estimate(zeros, ones), np.ones(len(nodes))
+            if below is not None:
                 kids, value = below
-                parent = np.searchsorted(nodes, (kids & 0xFF) | ((kids >> 8) & ((1 << (8 * depth)) - 1)) << 8)
-                total, stop = weigh(own, np.bincount(parent, value, len(nodes)))
+                parent = np.searchsorted(nodes, (kids & 0xFF) | ((kids >> 8) & mask) << 8)
+                total, stop = weigh(total, np.bincount(parent, value, len(nodes)))
             below = nodes, total
-            self.levels.append((at, stop, (zeros + 0.5) / (zeros + ones + 1), zeros, ones))
-        self.nodes, self.total = below
-        _, _, _, self.zeros, self.ones = self.levels[-1]
+            yield at, nodes, zeros, ones, total, stop
+
+    def top(self) -> pd.DataFrame:
+        """Sums over the nodes of depth 2, by last byte and node."""
+        out = []
+        for k in range(8):
+            for level in self.levels(*self.decision(k)):
+                pass
+            _, nodes, zeros, ones, total, _ = level
+            sums = pd.DataFrame({"last": nodes >> 8 & 0xFF, "node": nodes & 0xFF, "zeros": zeros, "ones": ones, "below": total})
+            out.append(sums.groupby(["last", "node"], as_index=False).sum())
+        return pd.concat(out)
 
     def log10(self, upper: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """log10 of the probability of each gram's byte; ``upper``: (weight, probability of zero) by last byte and node, of depths 1 and 0."""
-        at, _, zero, _, _ = self.levels[0]
-        p = zero[at]
-        for at, stop, zero, _, _ in self.levels[1:]:
-            p = stop[at] * zero[at] + (1 - stop[at]) * p
-        at = np.repeat(self.last, 8), self.node.reshape(-1)
-        for stop, zero in upper:
-            p = stop[at] * zero[at] + (1 - stop[at]) * p
-        p = np.where(self.bit.reshape(-1) == 1, 1 - p, p)
-        return np.log10(p).reshape(-1, 8).sum(axis=1)
+        out = np.empty((len(self.byte), 8))
+        for k in range(8):
+            node, one = self.decision(k)
+            p = 0.0
+            for at, _, zeros, ones, _, stop in self.levels(node, one):
+                zero = (zeros + 0.5) / (zeros + ones + 1)
+                p = stop[at] * zero[at] + (1 - stop[at]) * p
+            at = self.context & 0xFF, node
+            for stop, zero in upper:
+                p = stop[at] * zero[at] + (1 - stop[at]) * p
+            out[:, k] = np.log10(np.where(one, 1 - p, p))
+        return out.sum(axis=1)
 
 
 def model(grams: DataFrame) -> DataFrame:
@@ -143,9 +157,9 @@ def model(grams: DataFrame) -> DataFrame:
     parts = grams.select("key", "n", branch)
 
     def summary(pdf: pd.DataFrame) -> pd.DataFrame:
-        b = Branch(pdf["key"].to_numpy().view(U64), pdf["n"].to_numpy())
-        out = pd.DataFrame({"last": b.nodes >> 8 & 0xFF, "node": b.nodes & 0xFF, "zeros": b.zeros, "ones": b.ones, "below": b.total})
-        return out.groupby(["last", "node"], as_index=False).sum()
+        out = Branch(pdf["key"].to_numpy().view(U64), pdf["n"].to_numpy()).top()
+        release()
+        return out
 
     sums = (
         parts.groupBy("branch").applyInPandas(summary, "last long, node long, zeros double, ones double, below double")
@@ -167,7 +181,9 @@ def model(grams: DataFrame) -> DataFrame:
     def score(pdf: pd.DataFrame) -> pd.DataFrame:
         b = Branch(pdf["key"].to_numpy().view(U64), pdf["n"].to_numpy())
         every = [np.broadcast_to(x, (256, 256)) for x in (stop0, zero0)]
-        return pd.DataFrame({"key": pdf["key"], "value": b.log10([(stop1, zero1), (every[0], every[1])])})
+        value = b.log10([(stop1, zero1), (every[0], every[1])])
+        release()
+        return pd.DataFrame({"key": pdf["key"], "value": value})
 
     return parts.groupBy("branch").applyInPandas(score, "key long, value double")
 
@@ -192,6 +208,14 @@ def _gram_counts(batches: Batches) -> Batches:
         yield from flush()
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order; by sorting, as ``np.unique`` without counts hashes and takes ten times as long."""
+    keys = np.sort(keys)
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return keys[new]
+
+
 class _Tally:
     """Distinct keys with training counts, merged piece by piece."""
 
@@ -200,13 +224,17 @@ class _Tally:
 
     def add(self, key: np.ndarray, train: np.ndarray) -> None:
         value, n = np.unique(key[train], return_counts=True)
-        other = np.unique(key[~train])
+        other = _distinct(key[~train])
         self.parts += [(value, n), (other, np.zeros(len(other), np.int64))]
         if len(self.parts) > 8:
             self.parts = [self.merged()]
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        value, at = np.unique(np.concatenate([v for v, _ in self.parts]), return_inverse=True)
+        keys = np.concatenate([v for v, _ in self.parts])
+        if not any(n.any() for _, n in self.parts):
+            value = _distinct(keys)
+            return value, np.zeros(len(value), np.int64)
+        value, at = np.unique(keys, return_inverse=True)
         return value, np.bincount(at, np.concatenate([n for _, n in self.parts]), len(value)).astype(np.int64)
 
 
@@ -266,7 +294,7 @@ def _wanted(batches: Batches, kind: int) -> Batches:
         for at in range(0, len(value), 1 << 17):
             v, c = value[at : at + (1 << 17)], n[at : at + (1 << 17)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(v), block, np.int64)), pa.array(np.full(len(v), kind, np.int32)), pa.array(v.view(np.int64)), pa.array(c)],
+                [pa.array(np.full(len(v), block, np.int32)), pa.array(np.full(len(v), kind, np.int8)), pa.array(v.view(np.int64)), pa.array(c)],
                 names=["block", "kind", "key", "n"],
             )
 
@@ -296,17 +324,18 @@ RESULT = (
 
 
 def _score_block(docs: pa.Table, numbers: pa.Table) -> pa.Table:
-    words = numbers.filter(pc.equal(numbers.column("kind"), WORD))
-    grams = numbers.filter(pc.equal(numbers.column("kind"), GRAM))
+    # the caller keeps its rows: only what is looked up is copied
+    words = numbers.select(["key", "value", "first"]).filter(pc.equal(numbers.column("kind"), WORD))
+    grams = numbers.select(["key", "value"]).filter(pc.equal(numbers.column("kind"), GRAM))
     word_count, gram_log = words.column("value").to_numpy(), grams.column("value").to_numpy()
     word_at, gram_at = Lookup(words.column("key").to_numpy()), Lookup(grams.column("key").to_numpy())
     # each word is counted as known by the first block that asks for it
-    first_words = int(words.column("first").to_numpy()[word_count > 0].sum())
+    first_words = int(np.count_nonzero(words.column("first").to_numpy() & (word_count > 0)))
     del numbers, words, grams
     release()
     out = []
     for batch in docs.to_batches():
-        for piece in pieces(batch, "text", PART_BYTES):
+        for piece in pieces(batch, "text", PART_BYTES >> 1):
             t = Texts(piece.column("text"), lower=True)
             token, first = _tokens(t)
             count = word_count[word_at(token)]
@@ -359,15 +388,16 @@ def score_documents(docs: DataFrame, held_out: Column, scoring: Scoring = Scorin
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // scoring.block_bytes))
-    counts = stored(
-        rows.select("text", "train").mapInArrow(_gram_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    )
-    logs = stored(model(counts))
-    placed = rows.withColumn("block", F.pmod("h", F.lit(blocks))).select("block", "doc_id", "text", "train").repartition(width, "block")
+    with small_batches(spark):
+        counts = stored(
+            rows.select("text", "train").mapInArrow(_gram_counts, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        )
+        logs = stored(model(counts))
+    placed = rows.withColumn("block", F.pmod("h", F.lit(blocks)).cast("int")).select("block", "doc_id", "text", "train").repartition(width, "block")
     together = placed.sortWithinPartitions("block")
 
     def wanted(kind: int) -> DataFrame:
-        return together.mapInArrow(lambda batches: _wanted(batches, kind), "block long, kind int, key long, n long")
+        return together.mapInArrow(lambda batches: _wanted(batches, kind), "block int, kind byte, key long, n long")
 
     all_blocks = W.partitionBy("key")
     known = wanted(WORD).select(
@@ -375,13 +405,15 @@ def score_documents(docs: DataFrame, held_out: Column, scoring: Scoring = Scorin
         "kind",
         "key",
         F.sum("n").over(all_blocks).cast("double").alias("value"),
-        (F.row_number().over(all_blocks.orderBy("block")) == 1).cast("long").alias("first"),
+        (F.row_number().over(all_blocks.orderBy("block")) == 1).alias("first"),
     )
-    likely = wanted(GRAM).join(logs.hint("merge"), "key").select("block", "kind", "key", "value", F.lit(0).cast("long").alias("first"))
+    likely = wanted(GRAM).join(logs.hint("merge"), "key").select("block", "kind", "key", "value", F.lit(False).alias("first"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    scored = stored(
-        placed.groupBy("block").cogroup(known.unionByName(likely).groupBy("block")).applyInArrow(_score_block, RESULT.format(id=id_type))
-    )
+    numbers = known.unionByName(likely)
+    with small_batches(spark):
+        scored = stored(
+            placed.groupBy("block").cogroup(numbers.groupBy("block")).applyInArrow(_score_block, RESULT.format(id=id_type))
+        )
     totals = scored.agg(F.sum("train_tokens"), F.sum("first_words")).first()
     n, v = totals[0] or 0, totals[1] or 0
     return scored.select(

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,7 +15,7 @@ import pytest
 from llm_rows import ODD
 from pyspark.sql import functions as F
 
-from claimlens.llm import chat, context_tree, lines, mixing, pseudonyms, queries
+from claimlens.llm import chat, context_tree, frames, lines, mixing, pseudonyms, queries
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -233,6 +234,44 @@ def test_scores_equal_a_walk_over_the_tree(docs):
     assert context_tree.score_documents(docs([]), held).collect() == []
 
 
+def test_a_branch_takes_a_few_hundred_bytes_a_gram():
+    rng = np.random.default_rng(3)
+    letters = np.frombuffer(b"etaoinshr ", np.uint8)[np.minimum(rng.geometric(0.25, (300_000, 6)) - 1, 9)].astype(np.uint64)
+    key = np.unique((letters << np.arange(0, 48, 8, dtype=np.uint64)).sum(axis=1, dtype=np.uint64))
+    upper = [(np.full((256, 256), 0.5), np.full((256, 256), 0.5))] * 2
+    tracemalloc.start()
+    try:
+        logs = context_tree.Branch(key, rng.integers(0, 9, len(key))).log10(upper)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(logs) == len(key) > 50_000 and (logs < 0).all()
+    assert peak < 500 * len(key)
+
+
+def test_texts_reach_the_tree_in_small_batches(work, docs, monkeypatch):
+    sizes = work.sparkContext.accumulator(0)
+    kept = context_tree._gram_counts
+
+    def seen(batches):
+        def watch():
+            for batch in batches:
+                sizes.add(batch.nbytes > 6 << 20)
+                yield batch
+
+        yield from kept(watch())
+
+    monkeypatch.setattr(context_tree, "_gram_counts", seen)
+    rows = docs([(0, "")]).limit(0).unionByName(
+        work.range(0, 400, numPartitions=1).selectExpr(
+            "id AS doc_id", "repeat(concat('w', id, ' '), 8000) AS text", "'en' AS lang", "'a' AS source", "0L AS n_chars", "7 AS n_words"
+        )
+    )
+    assert context_tree.score_documents(rows, F.lit(False)).count() == 400
+    assert sizes.value == 0
+    assert work.conf.get(frames.BATCH_BYTES, None) is None
+
+
 def test_scores_of_odd_rows_and_the_held_out_share(work, docs):
     assert len(context_tree.score_documents(docs(ODD), F.col("doc_id") == 4).collect()) == len(ODD)
     got = {r.doc_id: r.held_out for r in queries.QUERIES["op8_context_tree"](work, SF).collect()}
