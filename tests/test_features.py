@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pandas as pd
@@ -242,3 +243,64 @@ def test_pagerank_stops_at_the_same_step_on_codes_and_on_edges(spark):
         one = {r[0]: r[1] for r in graph.pagerank_on_codes(edges, codes, 0.85, steps, tol).collect()}
         two = {r[0]: r[1] for r in graph.pagerank_by_steps(edges, 0.85, steps, tol).collect()}
         assert one == pytest.approx(two, abs=1e-13), tol
+
+
+CELL_TEXT = [*summary.CELL_KEYS, *summary.CELL_ATTRIBUTES, "place_of_service", "hcpcs_drug_indicator"]
+CELL_NUMBERS = ["total_services", "total_beneficiary_day_services", "avg_submitted_charge", "avg_medicare_payment_amt",
+                "avg_medicare_allowed_amt", "avg_medicare_standardized_amt"]
+CELL_SCHEMA = ", ".join([f"{c} string" for c in CELL_TEXT] + [f"{c} double" for c in CELL_NUMBERS] + ["total_beneficiaries int"])
+
+
+def test_cells_are_exchanged_once_and_by_provider(spark, monkeypatch):
+    """The lines are folded in their task, null keys and null amounts included, and dealt by provider only."""
+    rng = random.Random(4)
+    some = lambda *values: rng.choice([*values, None])
+    rows = [
+        (some("a", "b"), some("x", "y"), some("T"), some("1"), *"LFISG", some("F", "O"), some("Y", "N"), *[some(1.0, 2.5) for _ in CELL_NUMBERS], some(1, 2**31 - 1))
+        for _ in range(400)
+    ]
+    lines = spark.createDataFrame(rows, CELL_SCHEMA).repartition(3)
+    cells = summary.billing_cells(lines)
+    keys = [*summary.CELL_KEYS, *summary.CELL_ATTRIBUTES]
+    services = F.col("total_services")
+    want = lines.groupBy(*keys).agg(
+        F.sum(services).alias("total_services"),
+        F.sum("total_beneficiaries").alias("total_beneficiaries"),
+        F.sum(services * F.col("avg_medicare_payment_amt")).alias("medicare_payments"),
+        F.sum(F.when(F.col("place_of_service") == "O", services).otherwise(0.0)).alias("office_services"),
+    )
+    order = lambda df: sorted((tuple(r) for r in df.select(want.columns).collect()), key=str)
+    assert order(cells) == order(want)
+    assert dict(cells.dtypes)["total_beneficiaries"] == "bigint"
+    plan = summary.claims_summary(summary.billing_cells(spark.createDataFrame(rows, CELL_SCHEMA)))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("RepartitionByExpression") + plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(npi" in plan
+    monkeypatch.setattr(summary, "FOLD_ROWS", 7)
+    assert order(summary.billing_cells(lines)) == order(want)
+
+
+def test_stored_results_leave_no_shuffle_files(spark, tmp_path):
+    """Shuffles behind a stored table are deleted with the job that wrote it; the session's setting stays."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles().iterator()
+        names = set()
+        while found.hasNext():
+            names.add(found.next().getName())
+        return {n for n in names if n.startswith("shuffle_")}
+
+    def settled(before):
+        for _ in range(100):
+            left = files() - before
+            if not left:
+                break
+            time.sleep(0.1)
+        return left
+
+    before, rows = files(), spark.range(1000).groupBy((F.col("id") % 7).alias("npi")).count()
+    stored = checkpoints.materialize(rows)
+    assert not settled(before)
+    table = checkpoints.store_by(rows, "npi")
+    assert not settled(before)
+    assert stored.count() == table.count() == 7 and rows.count() == 7
+    assert spark.conf.get(checkpoints.DROP_SHUFFLES, None) in (None, "false")
