@@ -304,3 +304,16 @@ def test_stored_results_leave_no_shuffle_files(spark, tmp_path):
     assert not settled(before)
     assert stored.count() == table.count() == 7 and rows.count() == 7
     assert spark.conf.get(checkpoints.DROP_SHUFFLES, None) in (None, "false")
+
+
+def test_sets_are_words_of_bits():
+    """A bit per common code, over several words; what two sets share is a count of bits."""
+    rng = np.random.default_rng(2)
+    sets = [sorted(int(c) for c in rng.choice(150, int(rng.integers(1, 90)), replace=False)) for _ in range(9)]
+    names = [f"{c:03d}" for c in range(150)]
+    row = graph._packed(pd.DataFrame({"b": 0, "s": range(9), "codes": [[names[c] for c in s] for s in sets], "m": 1})).iloc[0].to_dict()
+    common = np.array(sorted({names[c] for s in sets for c in s}), dtype=object)
+    for at_once in (2048, 70):
+        words = graph._Sets(row, common).words(len(common), at_once)
+        shared = np.bitwise_count(words[:, :, None] & words[:, None, :]).sum(axis=0)
+        assert shared.tolist() == [[len({*a} & {*b}) for b in sets] for a in sets]
