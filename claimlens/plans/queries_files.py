@@ -136,9 +136,9 @@ def feature_layers(spark, d):
 def linkage_outputs(spark, d):
     """Candidates and labels as Parquet, flagged rows as CSV and the report as JSON, read back and counted."""
     path = scratch(spark)
-    candidates = materialize(linkage.resolve_conflicts(linkage.run_match(listed(spark, d), names(spark, d), CONFIG)))
+    candidates = linkage.resolve_conflicts(linkage.run_match(listed(spark, d), names(spark, d), CONFIG))
+    candidates = writers.save_match_outputs(candidates, linkage.final_labels, path)
     rows = audit.flag_candidates(candidates.where("keep_for_training"))
-    writers.save_match_outputs(candidates, linkage.final_labels(candidates), path)
     writers.save_audit(audit.audit_sample(rows), audit.flagged_rows(rows), audit.audit_report(rows), path)
     found = {
         "candidates": readers.read_artifact(spark, path, "match_candidates"),

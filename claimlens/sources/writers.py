@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,9 +74,18 @@ def save_json(df: DataFrame, path: str, by: tuple[str, ...] = (), compression: s
     df.write.mode("overwrite").option("compression", compression).partitionBy(*by).json(path)
 
 
-def save_match_outputs(candidates: DataFrame, labels: DataFrame, directory: str) -> None:
+def save_match_outputs(
+    candidates: DataFrame, labels: DataFrame | Callable[[DataFrame], DataFrame], directory: str
+) -> DataFrame:
+    """Candidates and labels as Parquet; returns the stored candidates.
+
+    ``labels`` may be a function of the candidates: they grow with the square of a name's
+    rows, so they are then written once and read back by the columns that labels need.
+    """
     save_parquet(candidates, f"{directory}/match_candidates")
-    save_parquet(labels, f"{directory}/final_labels")
+    stored = candidates.sparkSession.read.parquet(f"{directory}/match_candidates")
+    save_parquet(labels(stored) if callable(labels) else labels, f"{directory}/final_labels")
+    return stored
 
 
 def save_audit(sample: DataFrame, flagged: DataFrame, report: DataFrame, directory: str) -> None:

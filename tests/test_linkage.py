@@ -318,3 +318,39 @@ def test_pairs_of_a_name_are_dealt_over_tasks(spark, monkeypatch):
     shares = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(shares) == out.select("leie_row_key", "npi").distinct().count() == 60_000
     assert max(shares) <= 30_000
+
+
+def test_the_sample_is_whole_where_draws_are_equal(spark):
+    """Rows of one draw, above the bound that a count suggests, are all ordered; scans of absent tiers and flags are left out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).select(
+        F.lit("0000000007").alias("npi"), F.lit("K").alias("leie_row_key"), F.format_string("%04d", "id").alias("leie_excltype"),
+        F.lit(2).alias("match_tier"), (F.col("id") == 999).alias("any_flag"),
+    )
+    got = audit.audit_sample(rows.mapInArrow(count, rows.schema), {1: 3, 2: 4, 3: 5}, 3).collect()
+    assert sorted((r["any_flag"], r["leie_excltype"]) for r in got) == [(False, "0000"), (False, "0001"), (False, "0002"), (True, "0999")]
+    # counted once, read once a flag and once more for the equal draws
+    assert seen.value <= 4000
+
+
+def test_candidates_are_written_once_and_read_back(spark, tmp_path):
+    """Labels are made from the stored candidates, whose pairs are formed a single time."""
+    from claimlens.sources import writers
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    pairs = spark.range(50).select(F.format_string("%03d", F.col("id") % 10).alias("npi"))
+    stored = writers.save_match_outputs(pairs.mapInArrow(count, pairs.schema), lambda c: c.distinct(), str(tmp_path))
+    assert stored.count() == 50 and seen.value == 50
+    assert spark.read.parquet(f"{tmp_path}/final_labels").count() == 10
